@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_classifier
-from ._common import remainder
+from . import binary_records, language_id, packing, quality_classifier, quality_rules, secret_scan, sharding
+from ._common import remainder, shared_dir
+from .tokens import vocabulary
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -23,6 +24,23 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), capacity=2048)
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    ratios = secret_scan.train(secret_scan.default_samples(docs, "doc_id", "text"))
+    return secret_scan.digest(secret_scan.scan(docs, ratios))
+
+
+def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    files = binary_records.write(docs, shared_dir(spark), vocabulary("byte_bpe_50k.json"))
+    return binary_records.read(spark, files).drop("ids")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
@@ -31,9 +49,27 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"), shards=24)
+    none = F.lit(None).cast("int").alias("grown_shard")
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = quality_rules.rejected(F.col("failures"), "base")
+    kept = ~base & ~quality_rules.rejected(F.col("failures"), "v2")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), kept.alias("kept"), "failures")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_secret_scans": op3_secret_scans,
+    "op4_binary_records": op4_binary_records,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_sharding": op7_sharding,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 #: Operators whose result SQL expresses; the others are tested against brute force.
