@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_records, language_id, packing, quality_classifier, quality_rules, secret_scan, sharding
+from . import binary_records, language_id, lm_mixing, packing, quality_classifier, quality_rules, secret_scan, sharding, simhash
 from ._common import remainder, shared_dir
 from .tokens import vocabulary
 
@@ -41,6 +41,11 @@ def op4_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_records.read(spark, files).drop("ids")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.classes(table(spark, sf_dir, "documents", "doc_id", "text"), width=4, budget=4)
+    return rows.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")
@@ -62,14 +67,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), kept.alias("kept"), "failures")
 
 
+def op10_lm_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = remainder("doc_id", 7) == 2
+    rows = lm_mixing.score(table(spark, sf_dir, "documents", "doc_id", "text"), ~held)
+    return rows.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_secret_scans": op3_secret_scans,
     "op4_binary_records": op4_binary_records,
+    "op5_simhash": op5_simhash,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
     "op9_quality_rules": op9_quality_rules,
+    "op10_lm_mixing": op10_lm_mixing,
 }
 
 #: Operators whose result SQL expresses; the others are tested against brute force.
