@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import binary_records, language_id, lm_mixing, packing, quality_classifier, quality_rules, secret_scan, sharding, simhash
+from . import binary_records, decontamination, language_id, lm_mixing, packing, quality_classifier, quality_rules, secret_scan, sharding, simhash
 from ._common import remainder, shared_dir
 from .tokens import vocabulary
 
@@ -60,6 +60,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", none)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
     base = quality_rules.rejected(F.col("failures"), "base")
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_sharding": op7_sharding,
+    "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_lm_mixing": op10_lm_mixing,
 }
