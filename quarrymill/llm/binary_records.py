@@ -76,13 +76,13 @@ def write(docs: DataFrame, out: str, vocabulary: str, id_col: str = "doc_id", te
         name, index, at, total = f"{root}/part-{part:06d}", [], 0, 0
         own, data = uuid.uuid4().hex, None
         enc = encoder(vocabulary)
-        end = np.array([end_id], "<u4" if enc.wide else "<u2").tobytes()
+        end = np.array([end_id], enc.kind).tobytes()
         for pdf in batches:
             if data is None:
                 store.create_dir(root, recursive=True)
                 data = store.open_output_stream(f"{name}.{own}")
-            for key, text in zip(pdf["id"], pdf["text"], strict=True):
-                body = payload(None if pd.isna(key) else int(key), enc.encode(text) + end, enc.wide)
+            for key, ids in zip(pdf["id"], enc.encode(pdf["text"].tolist()), strict=True):
+                body = payload(None if pd.isna(key) else int(key), ids.tobytes() + end, enc.wide)
                 n = (len(body) - 9) // (4 if enc.wide else 2)
                 index.append((at, n))
                 at += data.write(pack(body))

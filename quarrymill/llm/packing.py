@@ -204,12 +204,11 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, id_col: str = "doc_i
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(vocabulary)
-        kind = "<u4" if enc.wide else "<u2"
-        end = np.array([end_id], kind).tobytes()
+        end = np.array([end_id], "<u4")
         for pdf in batches:
             row, out = [], []
-            for i, text in enumerate(pdf["text"]):
-                ids = np.frombuffer(enc.encode(text) + end, kind).astype("<u4")
+            for i, own in enumerate(enc.encode(pdf["text"].tolist())):
+                ids = np.concatenate([own.astype("<u4"), end])
                 at, k = 0, 0
                 stop = len(ids) - (len(ids) - 1) // capacity * capacity
                 while at < len(ids):
