@@ -15,8 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import bounded_sample, code_points, session, slices
 
@@ -124,28 +126,41 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train([(r["y"], np.frombuffer(r["idx"], np.uint32), np.frombuffer(r["n"], np.uint32)) for r in rows])
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``id_col`` (and the columns in ``keep``), score and predicted of every row; ``keep`` rides along with the text."""
-    names = list(dict.fromkeys([id_col, *(keep or [])]))
-    rows = docs.select(*[F.col(c) for c in names], F.col(text_col).alias("__text"))
+def _probabilities(texts: list[str | None], m: Model) -> np.ndarray:
+    texts = [t if isinstance(t, str) else "" for t in texts]
+    z = np.full(len(texts), m.bias)
+    for i, j in slices(np.array([len(t) for t in texts], np.int64)):
+        points, starts = code_points(texts[i:j])
+        h, at, long = buckets(points)
+        # a feature that reaches into the next text belongs to neither
+        doc = np.searchsorted(starts, at, side="right") - 1
+        good = at + long <= starts[doc + 1]
+        total = np.bincount(doc[good], weights=m.logit[h[good]], minlength=j - i)
+        number = np.bincount(doc[good], minlength=j - i)
+        z[i:j] += total / np.maximum(number, 1)
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, score and predicted of every row."""
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     shared = session(docs).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
         for pdf in batches:
-            texts = [t if isinstance(t, str) else "" for t in pdf["__text"]]
-            z = np.full(len(texts), m.bias)
-            for i, j in slices(np.array([len(t) for t in texts], np.int64)):
-                points, starts = code_points(texts[i:j])
-                h, at, long = buckets(points)
-                # a feature that reaches into the next text belongs to neither
-                doc = np.searchsorted(starts, at, side="right") - 1
-                good = at + long <= starts[doc + 1]
-                total = np.bincount(doc[good], weights=m.logit[h[good]], minlength=j - i)
-                number = np.bincount(doc[good], minlength=j - i)
-                z[i:j] += total / np.maximum(number, 1)
-            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            yield pdf[names].assign(score=p, predicted=(p >= 0.5).astype(np.int32))
-
-    kinds = dict(rows.dtypes)
-    return rows.mapInPandas(run, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", score double, predicted int")
+            p = _probabilities(pdf["text"].tolist(), shared.value)
+            yield pd.DataFrame({id_col: pdf[id_col], "score": p, "predicted": (p >= 0.5).astype(np.int32)})
+
+    return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, score double, predicted int")
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows whose score reaches ``least``, with all their columns."""
+    shared = session(docs).sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_probabilities(batch.column(at).to_pylist(), shared.value) >= least))
+
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
