@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.geo import overlap_degrees, overlaps
+from ..functions.geo import overlap_degrees, overlaps, shape
 
 #: Degrees of a grid cell that turns the overlap join into an equi-join.
 CELL = 15
@@ -25,6 +25,8 @@ def cells(w: Column, s: Column, e: Column, n: Column, step: int = CELL) -> Colum
 def box_hits(boxes: DataFrame, countries: DataFrame) -> DataFrame:
     """Each box with every country whose bounds it touches: box columns, name, is_eu, area, country_area, coverage.
 
+    The area of a line is the length inside, and that of a point 1.
+
     Both sides are dealt to grid cells and joined by cell; a pair counts in the first cell that
     both share only, so no duplicate has to be removed by a shuffle.
     """
@@ -34,7 +36,10 @@ def box_hits(boxes: DataFrame, countries: DataFrame) -> DataFrame:
     first = F.floor(F.greatest("w", "cw") / CELL).cast("int") * 1000 + F.floor(F.greatest("s", "cs") / CELL).cast("int")
     pairs = left.join(right, "__cell").where(overlaps(a, b) & (F.col("__cell") == first))
     country = (F.col("ce") - F.col("cw")) * (F.col("cn") - F.col("cs"))
-    out = pairs.withColumn("area", overlap_degrees(a, b)).withColumn("country_area", country)
+    both = [F.least(a[hi], b[hi]) - F.greatest(a[lo], b[lo]) for lo, hi in (("w", "e"), ("s", "n"))]
+    kind = shape(a)
+    size = F.when(kind == "point", 1.0).when(kind == "line", F.greatest(*both)).otherwise(overlap_degrees(a, b))
+    out = pairs.withColumn("area", size).withColumn("country_area", country)
     return out.withColumn("coverage", F.col("area") / F.col("country_area")).drop("__cell", *[f"c{c}" for c in "wsen"])
 
 
@@ -53,24 +58,41 @@ def dominance(hits: DataFrame, by: str) -> DataFrame:
     return out.withColumn("ratio", ratio("a1", "a2")).withColumn("coverage_ratio", ratio("c1", "c2")).drop("a1", "a2", "c1", "c2")
 
 
-def classify(boxes: DataFrame, countries: DataFrame, by: str) -> DataFrame:
-    """Each valid box as single_country_eu, multi_country_eu or non_european, with the figures behind it."""
+def classify(boxes: DataFrame, countries: DataFrame, by: str, giant: str | None = None) -> DataFrame:
+    """Each valid box as single_country_eu, multi_country_eu or non_european, with the figures behind it.
+
+    Points go by the countries that cover them and lines by length alone; neither looks at
+    others than EU countries. A box of which ``giant`` has the most, but under half, isn't about it.
+    """
+    kind = shape({c: F.col(c) for c in "wsen"})
     hits = box_hits(boxes, countries).where("area > 0")
     eu = dominance(hits.where("is_eu"), by)
     other = hits.where("NOT is_eu").select(by).distinct().withColumn("has_other", F.lit(True))
-    rows = boxes.join(eu, by, "left").join(other, by, "left").withColumn("has_other", F.coalesce("has_other", F.lit(False)))
-    relevant = (F.col("meaningful") > 0) & (F.col("meaningful") / F.col("total") >= RELEVANT)
-    lead = (F.coalesce(F.col("ratio"), F.lit(1e9)) > RATIO) | (F.col("top_share") >= SHARE)
-    cover = (F.col("coverage_ratio") > COVERAGE_RATIO) & (F.col("coverage_share") > COVERAGE_SHARE)
+    rows = boxes.withColumn("kind", kind).join(eu, by, "left").join(other, by, "left").withColumn("has_other", F.coalesce("has_other", F.lit(False)))
+    polygon, yes = F.col("kind") == "polygon", lambda c: F.coalesce(c, F.lit(False))
+    irrelevant = polygon & F.col("has_other") & ~yes((F.col("meaningful") > 0) & (F.col("meaningful") / F.col("total") >= RELEVANT))
+    shy = yes((F.col("top") == F.lit(giant)) & (F.col("top_share") < SHARE))
+    lead = yes(F.col("ratio") > RATIO) | polygon & (F.col("top_share") >= SHARE)
+    cover = yes((F.col("coverage_ratio") > COVERAGE_RATIO) & (F.col("coverage_share") > COVERAGE_SHARE))
     label = (
-        F.when(F.col("n_eu").isNull(), "non_european")
-        .when(F.col("has_other") & ~relevant, "non_european")
+        F.when(F.col("n_eu").isNull() | irrelevant, "non_european")
         .when(F.col("n_eu") == 1, "single_country_eu")
+        .when((F.col("kind") == "point") | shy, "multi_country_eu")
         .when(lead, "single_country_eu")
-        .when(F.coalesce(cover, F.lit(False)), "single_country_eu")
+        .when(polygon & cover, "single_country_eu")
         .otherwise("multi_country_eu")
     )
-    return rows.select(by, label.alias("classification"), "top", "top_share", "ratio", "coverage_ratio", "coverage_top")
+    last = polygon & (F.col("n_eu") > 1) & ~irrelevant & ~shy & ~lead  # the coverage decides, or nothing does
+    out = rows.select(by, label.alias("classification"), "top", "top_share", F.when(F.col("kind") != "point", F.col("ratio")).alias("ratio"), *[F.when(last, F.col(c)).alias(c) for c in ("coverage_ratio", "coverage_top")])
+    told = F.col("classification") != "non_european"
+    return out.select(by, "classification", *[F.when(told, F.col(c)).alias(c) for c in ("top", "top_share", "ratio", "coverage_ratio", "coverage_top")])
+
+
+def shares(hits: DataFrame, by: str) -> DataFrame:
+    """(by, countries): map of each box's EU countries to their share of what it covers of them."""
+    w = Window.partitionBy(by)
+    rows = hits.where("is_eu AND area > 0").withColumn("share", F.round(F.col("area") / F.sum("area").over(w), 4))
+    return rows.groupBy(by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "share")))).alias("countries"))
 
 
 def bbox_vote(classification: Column) -> Column:

@@ -69,9 +69,11 @@ agg AS (SELECT id, count(*) AS n_eu, max(CASE WHEN ra = 1 THEN name END) AS top,
   round(max(CASE WHEN rc = 1 THEN coverage END) / max(CASE WHEN rc = 2 THEN coverage END), 4) AS coverage_ratio,
   sum(CASE WHEN coverage >= 0.5 THEN area ELSE 0 END) AS meaningful, sum(area) AS total FROM eu GROUP BY id),
 other AS (SELECT DISTINCT id FROM hits WHERE NOT is_eu AND area > 0),
-classes AS (SELECT g.id, CASE WHEN n_eu IS NULL THEN 'non_european' WHEN o.id IS NOT NULL AND NOT (meaningful > 0 AND meaningful / total >= 0.1) THEN 'non_european' WHEN n_eu = 1 THEN 'single_country_eu'
-  WHEN coalesce(ratio, 1e9) > 2 OR top_share >= 0.5 THEN 'single_country_eu' WHEN coalesce(coverage_ratio > 1.5 AND coverage_share > 0.1, FALSE) THEN 'single_country_eu' ELSE 'multi_country_eu' END AS classification,
-  top, top_share, ratio, coverage_ratio, coverage_top FROM good g LEFT JOIN agg a USING (id) LEFT JOIN other o ON o.id = g.id)
+raw AS (SELECT g.id, n_eu > 1 AND NOT (coalesce(ratio, 0) > 2 OR top_share >= 0.5) AS last, CASE WHEN n_eu IS NULL THEN 'non_european' WHEN o.id IS NOT NULL AND NOT (meaningful > 0 AND meaningful / total >= 0.1) THEN 'non_european' WHEN n_eu = 1 THEN 'single_country_eu'
+  WHEN coalesce(ratio, 0) > 2 OR top_share >= 0.5 THEN 'single_country_eu' WHEN coalesce(coverage_ratio > 1.5 AND coverage_share > 0.1, FALSE) THEN 'single_country_eu' ELSE 'multi_country_eu' END AS classification,
+  top, top_share, ratio, coverage_ratio, coverage_top FROM good g LEFT JOIN agg a USING (id) LEFT JOIN other o ON o.id = g.id),
+classes AS (SELECT id, classification, CASE WHEN told THEN top END AS top, CASE WHEN told THEN top_share END AS top_share, CASE WHEN told THEN ratio END AS ratio,
+  CASE WHEN told AND last THEN coverage_ratio END AS coverage_ratio, CASE WHEN told AND last THEN coverage_top END AS coverage_top FROM (SELECT *, classification <> 'non_european' AS told FROM raw))
 """
 
 

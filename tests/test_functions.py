@@ -83,6 +83,20 @@ def test_boxes(spark):
     assert [votes("silent", "silent"), votes("for", "silent"), votes("for", "against")] == ["", "agree", "disagree"]
 
 
+def test_ladder(spark):
+    land = [("Giant", True, 27.0, 45.0, 60.0, 70.0), ("A", True, 0.0, 45.0, 5.0, 50.0), ("B", True, 5.0, 45.0, 10.0, 50.0), ("Tiny", True, 4.9, 46.0, 5.1, 46.2), ("East", False, 60.0, 40.0, 90.0, 60.0), ("South", False, 0.0, 20.0, 10.0, 44.0)]
+    countries = spark.createDataFrame(land, "name string, is_eu boolean, w double, s double, e double, n double")
+    boxes = [
+        (1, 1.0, 46.0, 2.0, 47.0), (2, 0.0, 45.0, 10.0, 50.0), (3, 70.0, 50.0, 70.0, 50.0), (4, 2.0, 47.0, 2.0, 47.0), (5, 5.0, 46.1, 5.0, 46.1), (6, 1.0, 49.0, 9.0, 49.0), (7, 1.0, 49.0, 5.5, 49.0),
+        (8, 0.0, 20.0, 10.0, 45.1), (9, 4.6, 45.9, 5.4, 46.3), (10, 9.0, 45.0, 28.0, 50.0), (11, 100.0, 0.0, 101.0, 1.0),
+    ]
+    rows = S.classify(spark.createDataFrame(boxes, "id int, w double, s double, e double, n double"), countries, "id", giant="Giant").collect()
+    got = {r["id"]: r["classification"].split("_")[0] for r in rows}
+    assert got == {1: "single", 2: "multi", 3: "non", 4: "single", 5: "multi", 6: "multi", 7: "single", 8: "non", 9: "single", 10: "single", 11: "non"}
+    tiny = next(r for r in rows if r["id"] == 9)
+    assert tiny["coverage_top"] == "Tiny" and tiny["coverage_ratio"] > 1.5
+
+
 def test_documents(spark):
     doc = json.dumps({"identification": {"license": {"name": "CC"}, "rights": "r", "keywords": {"a": {"keywords_type": "theme", "vocabulary": {"name": "Spatial scope"}, "keywords": ["European", None]}}}})
     assert one(spark, doc, lambda x: D.license_name(D.parse(x))) == "CC" and one(spark, "{bad", lambda x: D.keywords(D.parse(x))) == []
