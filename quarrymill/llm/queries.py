@@ -90,5 +90,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_mixing": op10_lm_mixing,
 }
 
+_OP9 = r"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS x FROM documents),
+w AS (SELECT rid, doc_id, x, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda v: v <> '') AS ws,
+  list_filter(string_split(x, chr(10)), lambda v: regexp_matches(v, '[^\x20\x09-\x0D]')) AS lines FROM t),
+win AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY rid),
+m AS (SELECT doc_id, len(ws) AS n_words, CAST(length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(x, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words, len(lines) AS n_lines, length(regexp_replace(x, '[^A-Z]', '', 'g')) AS caps, length(regexp_replace(x, '[^!]', '', 'g')) AS bangs
+  FROM w LEFT JOIN cov USING (rid)),
+f AS (SELECT *, CAST((CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END) + (CASE WHEN 10 * n_symbols > 3 * n_words THEN 4 ELSE 0 END)
+  + (CASE WHEN 2 * n_dup_lines > n_lines THEN 8 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words OR word_chars > 25 * n_words THEN 16 ELSE 0 END)
+  + (CASE WHEN 10 * caps > 6 * word_chars THEN 32 ELSE 0 END) + (CASE WHEN 2 * bangs > n_words THEN 64 ELSE 0 END) AS BIGINT) AS failures FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failures & 3) <> 0 AS base_failed, failures = 0 AS kept, failures FROM f
+"""
+
 #: Operators whose result SQL expresses; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_quality_rules": _OP9}
