@@ -42,20 +42,45 @@ def doi_url(x: Column) -> Column:
 
 
 def url_of(pid: Column) -> Column:
-    """A link for an identifier: as it is if it is one, by scheme, or for a bare DOI; else empty."""
+    """A link for an identifier: as it is if it is one, by scheme (in either case), or for a bare DOI; else empty."""
     last = F.element_at(F.split(pid, ":"), -1)
+    scheme = lambda s: F.lower(pid).startswith(f"{s}:")
     return (
         F.when(pid.startswith("http"), pid)
-        .when(pid.startswith("ror:"), F.concat(F.lit("https://ror.org/"), last))
-        .when(pid.startswith("orcid:"), F.concat(F.lit("https://orcid.org/"), last))
-        .when(pid.startswith("doi:"), doi_url(last))
-        .when(pid.rlike(r"^10\.[^/]+/"), doi_url(pid))
+        .when(scheme("ror"), F.concat(F.lit("https://ror.org/"), last))
+        .when(scheme("orcid"), F.concat(F.lit("https://orcid.org/"), last))
+        .when(scheme("doi"), doi_url(last))
+        .when(pid.startswith("10.") & pid.contains("/"), doi_url(pid))
         .otherwise(F.lit(""))
     )
 
 
 def pid_kind(x: Column) -> Column:
-    return F.when(x.contains("doi.org") | x.startswith("10.") | x.startswith("doi:"), "doi").when(x.startswith("http"), "uri").otherwise("uuid")
+    """doi for a bare DOI, uri for a link, else uuid."""
+    return F.when(x.rlike(r"^10\.[^./]*/"), "doi").when(x.startswith("http"), "uri").otherwise("uuid")
+
+
+# Marks of addresses that name a deposit.
+KNOWN = ["doi.org", "doi:", "zenodo.org", "data.jrc.ec.europa.eu", "figshare.com", "datadryad.org", "/geonetwork"]
+
+
+def deposit_id(uri: Column, others: Column) -> Column:
+    """The identifier in an address: that of the last of ``others`` (an array) with a known mark, else of ``uri``; unchanged where no rule applies."""
+    known = F.filter(F.coalesce(others, F.array().cast("array<string>")), lambda u: F.exists(F.array(*[F.lit(k) for k in KNOWN]), lambda k: F.contains(u, k)))
+    x = F.coalesce(F.try_element_at(known, F.lit(-1)), uri)
+    bare = F.split_part(x, F.lit("?"), F.lit(1))
+    after = lambda v, mark: F.trim(F.element_at(F.split(v, mark), -1))
+    record = F.regexp_extract(bare, r"/record/([^/]+)", 1)
+    figure = F.regexp_extract(bare, r"/articles/[^/]+/([^/]+)", 1)
+    return (
+        F.when(x.contains("doi.org"), after(bare, r"doi\.org/"))
+        .when(x.contains("oai-zenodo-org-"), F.concat(F.lit("10.5281/zenodo."), F.element_at(F.split(x, "oai-zenodo-org-"), 2)))
+        .when(x.contains("zenodo.org"), F.when(record != "", F.concat(F.lit("10.5281/zenodo."), record)).otherwise(x))
+        .when(x.contains("doi:"), after(x, "doi:"))
+        .when(x.contains("data.jrc.ec.europa.eu") | x.contains("/geonetwork"), after(bare, "/"))
+        .when(x.contains("figshare.com") & (figure != ""), F.concat(F.lit("10.6084/m9.figshare."), figure))
+        .otherwise(x)
+    )
 
 
 def video_id(url: Column) -> Column:

@@ -163,17 +163,78 @@ def dois_of_strings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'http://x/' || page_id WHEN 1 THEN 'https://ror.org/r' || page_id WHEN 2 THEN 'https://doi.org/10.1/' || page_id WHEN 3 THEN 'https://orcid.org/o' || page_id ELSE '' END AS link,
-  CASE page_id % 5 WHEN 0 THEN 'uri' WHEN 2 THEN 'doi' ELSE 'uuid' END AS kind FROM pages
+SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'http://x/' || page_id WHEN 1 THEN 'https://ror.org/r' || page_id WHEN 2 THEN 'https://doi.org/10.1/' || page_id WHEN 3 THEN 'https://orcid.org/o' || page_id ELSE 'https://doi.org/10.5/' || page_id END AS link,
+  CASE page_id % 5 WHEN 0 THEN 'uri' WHEN 4 THEN 'doi' ELSE 'uuid' END AS kind FROM pages
 """)
 def links_of_identifiers(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("page_id").cast("string")
     of = lambda p: F.concat(F.lit(p), k)
     m = F.col("page_id") % 5
-    pid = F.when(m == 0, of("http://x/")).when(m == 1, of("ror:r")).when(m == 2, of("doi:10.1/")).when(m == 3, of("orcid:o")).otherwise(of("id-"))
+    pid = F.when(m == 0, of("http://x/")).when(m == 1, of("ROR:r")).when(m == 2, of("doi:10.1/")).when(m == 3, of("orcid:o")).otherwise(of("10.5/"))
     return table(spark, sf, "pages").select("page_id", I.url_of(pid).alias("link"), I.pid_kind(pid).alias("kind"))
 
 
+@query("""
+SELECT page_id, CASE page_id % 5 WHEN 0 THEN '10.1/a' || page_id WHEN 1 THEN '10.5281/zenodo.' || page_id WHEN 2 THEN 'r' || page_id WHEN 3 THEN 'https://zenodo.org/records/' || page_id ELSE 'plain' END AS deposit FROM pages
+""")
+def deposits_of_addresses(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("page_id").cast("string")
+    m = F.col("page_id") % 5
+    uri = F.when(m == 0, "x").when(m == 1, F.concat(F.lit("https://zenodo.org/record/"), k, F.lit("/files?y"))).when(m == 3, F.concat(F.lit("https://zenodo.org/records/"), k)).otherwise("plain")
+    first, last = F.when(m == 0, "https://zenodo.org/record/9"), F.when(m == 0, F.concat(F.lit("https://doi.org/10.1/a"), k, F.lit("?z"))).when(m == 2, F.concat(F.lit("https://x/geonetwork/r"), k, F.lit("?q")))
+    return table(spark, sf, "pages").select("page_id", I.deposit_id(uri, F.array_compact(F.array(first, last))).alias("deposit"))
+
+
+@query("""
+SELECT p_partkey, list_concat([p_name], CASE WHEN p_size % 2 = 0 THEN [p_type] ELSE [] END) AS names, CASE WHEN p_size % 3 = 0 THEN 'b' || p_brand ELSE 'k' || p_partkey END AS identifier, 'CreativeWork' AS kind FROM part
+""")
+def schema_org_fields(spark: SparkSession, sf: str) -> DataFrame:
+    from .functions.schema_org import merged
+
+    one = lambda x: F.array(x)
+    empty = F.array().cast("array<string>")
+    record = F.create_map(
+        F.lit("name"), one(F.col("p_name")), F.lit("title"), F.when(F.col("p_size") % 2 == 0, one(F.col("p_type"))).otherwise(one(F.lit(""))),
+        F.lit("id"), F.when(F.col("p_size") % 3 == 0, one(F.concat(F.lit("b"), F.col("p_brand")))).otherwise(empty), F.lit("url"), one(F.concat(F.lit("k"), F.col("p_partkey").cast("string"))),
+    )
+    rows = table(spark, sf, "part").select("p_partkey", merged(record).alias("m"))
+    return rows.select("p_partkey", F.col("m")["name"].alias("names"), F.col("m")["identifier"][0].alias("identifier"), F.col("m")["@type"][0].alias("kind"))
+
+
+@query("""
+SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN ['eea39'] ELSE [] END AS concrete, CASE WHEN c_custkey % 3 = 0 THEN ['europe'] ELSE [] END AS broad,
+  CASE c_custkey % 5 WHEN 0 THEN ['france', 'germany'] WHEN 1 THEN ['spain'] ELSE [] END AS countries FROM customer
+""")
+def place_keywords(spark: SparkSession, sf: str) -> DataFrame:
+    from .functions.places import split_places
+
+    k = F.col("c_custkey")
+    five = F.when(k % 5 == 0, " Deutschland, FRANCE,germany").when(k % 5 == 1, "España").otherwise("atlantis")
+    text = F.concat_ws(",", F.when(k % 4 == 0, "EEA39"), F.when(k % 3 == 0, " Europe "), five)
+    return table(spark, sf, "customer").select("c_custkey", split_places(text).alias("p")).select("c_custkey", "p.concrete", "p.broad", "p.countries")
+
+
+@query("""
+SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN ['germany', 'united kingdom'] WHEN 1 THEN [] END AS countries, CASE s_suppkey % 4 WHEN 0 THEN [] WHEN 1 THEN ['global'] END AS broad FROM supplier
+""")
+def places_in_text(spark: SparkSession, sf: str) -> DataFrame:
+    from .functions.places import scan
+
+    m = F.col("s_suppkey") % 4
+    text = F.when(m == 0, "Soils of the U.K. and Germany, Austria¹⁰").when(m == 1, "Global Soil Erosion and Global Warming Potential").when(m == 2, "europeanised Germanys, global warming")
+    return table(spark, sf, "supplier").select("s_suppkey", scan(text).alias("p")).select("s_suppkey", "p.countries", "p.broad")
+
+
+@query("""
+WITH n AS (SELECT l_partkey, count(DISTINCT l_suppkey) AS n_citing FROM lineitem WHERE l_discount > 0.05 GROUP BY l_partkey) SELECT p_partkey, n_citing FROM part LEFT JOIN n ON p_partkey = l_partkey
+""")
+def citations_merged(spark: SparkSession, sf: str) -> DataFrame:
+    from .operators.aggregates import cited_by
+
+    cited = cited_by(table(spark, sf, "lineitem").where("l_discount > 0.05").select(F.col("l_partkey").alias("reference"), F.col("l_suppkey").alias("citing")))
+    return table(spark, sf, "part").join(cited, F.col("p_partkey") == F.col("reference"), "left").select("p_partkey", "n_citing")
+
+
 @query("""
 SELECT conv_id, turn, len(list_distinct(list_filter(regexp_split_to_array(text, '[ ,.!;:]+'), lambda w: w <> ''))) AS n_words FROM conversations
 """)
