@@ -301,3 +301,18 @@ def _triples(spark: SparkSession, sf: str) -> DataFrame:
 def text_chunks(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     return docs.select("doc_id", F.posexplode(X.chunks(F.col("text"), 200, 900)).alias("chunk", "text"))
+
+
+@query("""
+WITH w AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(lower(text), '[ ,.!;:]+'), lambda v: v <> '') AS ws FROM conversations),
+g AS (SELECT conv_id, turn, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS term FROM w),
+t AS (SELECT conv_id, turn, term, count(*) AS tf FROM g GROUP BY ALL), d AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+s AS (SELECT conv_id, turn, term, round(tf * ln((SELECT count(*) FROM conversations) / df), 6) AS score FROM t JOIN d USING (term)),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY score DESC, term) AS k FROM s)
+SELECT conv_id, turn, term, score FROM r WHERE k <= 5
+""")
+def keyphrases(spark: SparkSession, sf: str) -> DataFrame:
+    from .operators.keywords import tfidf
+
+    words = F.filter(F.split(F.lower("text"), r"[ ,.!;:]+"), lambda w: w != "")
+    return tfidf(table(spark, sf, "conversations"), ["conv_id", "turn"], words)

@@ -153,6 +153,28 @@ def test_plans(spark, tmp_path):
     assert [(r["person_id"], r["organisation"], str(r["start"])) for r in P.employments(people, profiles, orgs).collect()] == [(1, "o1", "2020-01-01")]
 
 
+def test_diverse_choice(spark):
+    import random
+
+    from quarrymill.operators.keywords import diverse, ngrams
+
+    rng = random.Random(2)
+    cands = []
+    for i in range(12):
+        v = [rng.gauss(0, 1) for _ in range(4)]
+        n = math.sqrt(sum(x * x for x in v))
+        cands.append((f"t{i}", rng.random(), [x / n for x in v]))
+    chosen = []
+    for _ in range(5):
+        worth = lambda c: 0.3 * c[1] - 0.7 * max([sum(a * b for a, b in zip(c[2], x[2], strict=True)) for x in chosen], default=0.0)
+        chosen.append(max((c for c in cands if c not in chosen), key=worth))
+    df = spark.createDataFrame([(cands,)], "x array<struct<term:string,relevance:double,v:array<double>>>")
+    assert df.select(diverse(F.col("x"), 5, 0.7)).first()[0] == [c[0] for c in chosen]
+    assert df.select(F.size(diverse(F.col("x"), 20, 0.7))).first()[0] == 12
+    assert spark.range(1).select(ngrams(F.array(F.lit("a"), F.lit("b"), F.lit("c")), 1, 2)).first()[0] == ["a", "b", "c", "a b", "b c"]
+    assert spark.range(1).select(ngrams(F.array().cast("array<string>"), 1, 4)).first()[0] == []
+
+
 def test_stream(spark, tmp_path):
     from quarrymill.streaming.ledger import augment_stream
 
