@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._common import session
 from .tokens import encoder
 
 
@@ -67,6 +68,7 @@ def _open(path: str):
 
 def write(docs: DataFrame, out: str, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> list[dict]:
     """Writes all documents in ascending id order below ``out``; returns one entry per file, in order: path, documents, ids."""
+    session(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text").select("id", "text")
 

@@ -91,6 +91,7 @@ class Model:
 
 def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_train_docs: int = 8192) -> Model:
     """Counts trigrams and scripts per language over the texts of at most ``max_train_docs`` labelled rows."""
+    session(docs)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (F.trim("lang") != ""))
     ids = bounded_sample(rows.select("id", "lang"), "id", ["lang"], max_train_docs).select("id")

@@ -200,6 +200,7 @@ def lookup(bins: list[Bins]) -> dict[str, np.ndarray]:
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0) -> DataFrame:
     """Token pieces of every document: only longer ones are cut, and only the first piece of these may be short of the capacity."""
+    session(docs)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

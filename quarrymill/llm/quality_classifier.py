@@ -106,6 +106,7 @@ def train(samples: list[tuple[int, np.ndarray, np.ndarray]], dim: int = 16, epoc
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_train_docs: int = 3000) -> Model:
     """Trains on at most ``max_train_docs`` labelled rows, picked by hash; only their feature counts reach the driver."""
+    session(docs)
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     known = marked.join(texts.select("id"), "id", "left_semi")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BATCH_CHARS, slices, staged
+from ._common import BATCH_CHARS, session, slices, staged
 
 SEED = 42
 WIDTHS = [11, 11, 11, 11, 10, 10]
@@ -72,6 +72,7 @@ def majority(hashes: list[np.ndarray]) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4) -> DataFrame:
     """``id_col`` and fp (the fingerprint's bits as a long) of every row."""
+    session(docs)
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
