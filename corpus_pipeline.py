@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles; 4 of 64 bits): the one with the smallest id."""
-    return simhash.keep_one(docs, width=5, budget=4)
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,13 +1,23 @@
 """SimHash near-duplicates: fingerprints, links within a Hamming radius, and components.
 
-Fingerprints are taken from whole texts. Equal ones are one node from there on. Two 64-bit
-fingerprints that differ in at most 4 bits agree in at least 2 of 6 blocks, so each node goes
-to its 15 pairs of blocks; nodes that share one meet in a task and are joined as a binary trie
-with itself: pairs of trie nodes descend together, differing bits add up, and a pair whose sum
-exceeds the budget is dropped. A task keeps only links that connect what its other links have
-not connected yet (a spanning forest), so a group of copies never becomes all its pairs; a
-bucket over ``BUCKET`` nodes is dealt out as pairs of parts. Components come from alternating
-star contraction, each round written to the shared folder.
+Fingerprints are taken from whole texts. Equal ones are one node from there on. Nodes that
+share a key meet in a task and are joined as a binary trie with itself: pairs of trie nodes
+descend together, differing bits add up, and a pair whose sum exceeds the budget is dropped. A
+task keeps only links that connect what its other links have not connected yet (a spanning
+forest), so a group of copies never becomes all its pairs; a bucket over ``BUCKET`` nodes is
+dealt out as pairs of parts. Components come from alternating star contraction, each round
+written to the shared folder.
+
+Two forms:
+
+- ``classes``: 64-bit fingerprints of word shingles within 4 bits, exactly. Such a pair agrees in
+  at least 2 of 6 blocks, so the keys are the 15 pairs of blocks.
+- ``near_classes``: texts whose five-word shingles have a similarity of 0.8 or more: equal bits of
+  256-bit fingerprints of the shingles, so at most ``ALIKE`` differ (a Jaccard index of 0.8 makes
+  39 on average, unlike texts 128). No key of such a fingerprint is sure to be equal. The trie
+  holds 64-bit fingerprints of the texts' distinct words instead, which few changed words hardly
+  move (``RADIUS`` bits), under ``TABLES`` keys of 5 of 16 blocks each, so that a pair is missed
+  only if all keys differ; the longer fingerprints then decide.
 
 Null text counts as empty: fingerprint zero, linked like any other. Rows with a null id take
 part in links; a component's id is its smallest non-null id. Repeated rows keep their rows.
@@ -31,7 +41,9 @@ WIDTHS = [11, 11, 11, 11, 10, 10]
 #: Nodes that one task holds of a bucket.
 BUCKET = 40_000
 #: Pairs of trie nodes in work at once.
-FRONTIER = 500_000
+FRONTIER = 250_000
+#: Of the near form: bits that word fingerprints may differ in, keys, and bits of the shingles' fingerprints.
+RADIUS, TABLES, ALIKE, NEAR_WIDTH = 12, 32, 51, 5
 
 
 def shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -48,6 +60,22 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
     return np.fromiter([digest(joined[a:b], SEED) for a, b in cuts], np.uint64, len(words) - width + 1)
 
 
+def word_hashes(text: str) -> np.ndarray:
+    """XXH64 of every distinct word; A-Z is lower-cased first."""
+    digest = xxhash.xxh64_intdigest
+    words = set(text.encode("utf-8", "surrogatepass").lower().split())
+    return np.fromiter([digest(w, SEED) for w in words], np.uint64, len(words))
+
+
+def spread(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of further hashes that a hash stands for."""
+    with np.errstate(over="ignore"):
+        x = h + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        return x ^ x >> np.uint64(31)
+
+
 def majority(hashes: list[np.ndarray]) -> np.ndarray:
     """Per list of hashes the 64-bit fingerprint: a bit is 1 if it is set in over half of them."""
     out = np.zeros(len(hashes), np.uint64)
@@ -112,9 +140,11 @@ class Forest:
                 self.root = self.root[self.root]
 
 
-def trie_join(keys: np.ndarray, prints: np.ndarray, budget: int) -> list[tuple[int, int]]:
+def trie_join(keys: np.ndarray, prints: np.ndarray, budget: int, more: np.ndarray | None = None, alike: int = 0) -> list[tuple[int, int]]:
     """Links (positions) of a spanning forest of fingerprints within ``budget`` bits that share a key.
 
+    With ``more`` (further fingerprint words per row) a link's rows may differ in ``alike`` bits of them.
+
     Rows are sorted by key, then fingerprint; a trie node is a range of rows, and a frontier of
     node pairs (range, range, differing bits so far, depth) descends bit by bit, small ones first.
     """
@@ -137,7 +167,7 @@ def trie_join(keys: np.ndarray, prints: np.ndarray, budget: int) -> list[tuple[i
         pairs = np.where(same, (b - a) * (b - a - 1) // 2, (b - a) * (d - c))
         leaf = (pairs <= 8) | (depth == 64)
         if leaf.any():
-            _leaves(forest, prints, a[leaf], b[leaf], c[leaf], d[leaf], budget)
+            _leaves(forest, prints, a[leaf], b[leaf], c[leaf], d[leaf], budget, more, alike)
             a, b, c, d, err, same = (x[~leaf] for x in (a, b, c, d, err, same))
         if not len(a):
             continue
@@ -158,7 +188,7 @@ def trie_join(keys: np.ndarray, prints: np.ndarray, budget: int) -> list[tuple[i
     return forest.links
 
 
-def _leaves(forest: Forest, prints: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, budget: int) -> None:
+def _leaves(forest: Forest, prints: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, budget: int, more: np.ndarray | None, alike: int) -> None:
     """Compares the rows of node pairs one by one."""
     for i in range(0, len(a), FRONTIER // 8):
         x, nx, y, ny = a[i : i + FRONTIER // 8], (b - a)[i : i + FRONTIER // 8], c[i : i + FRONTIER // 8], (d - c)[i : i + FRONTIER // 8]
@@ -167,43 +197,71 @@ def _leaves(forest: Forest, prints: np.ndarray, a: np.ndarray, b: np.ndarray, c:
         u = np.repeat(x, size) + at // np.repeat(ny, size)
         v = np.repeat(y, size) + at % np.repeat(ny, size)
         near = (u < v) & (np.bitwise_count(prints[u] ^ prints[v]) <= budget)
-        forest.add(u[near], v[near])
-
-
-def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
-    """(u, v): links between distinct fingerprints (column fp) that connect all that are within ``budget`` bits."""
-    if budget > len(WIDTHS) - 2:
-        raise ValueError("the blocks cover up to 4 differing bits")
-    at = [sum(WIDTHS[:k]) for k in range(len(WIDTHS))]
-    block = lambda k: F.shiftrightunsigned("fp", at[k]).bitwiseAND(F.lit((1 << WIDTHS[k]) - 1))
-    keys = [F.lit(n << 22).cast("long") + block(i) * F.lit(1 << 11) + block(j) for n, (i, j) in enumerate(combinations(range(len(WIDTHS)), 2))]
-    rows = nodes.select("fp", F.explode(F.array(*keys)).alias("key"))
+        u, v = u[near], v[near]
+        if more is not None and len(u):
+            apart = forest.root[u] != forest.root[v]
+            u, v = u[apart], v[apart]
+            near = np.bitwise_count(more[u] ^ more[v]).sum(axis=1, dtype=np.int64) <= alike
+            u, v = u[near], v[near]
+        forest.add(u, v)
+
+
+def dealt(nodes: DataFrame, keys: list[Column], cols: list[str]) -> DataFrame:
+    """``cols`` of each node under each of its keys (column key), sorted by key in partitions; full buckets as pairs of parts."""
+    rows = nodes.select(*cols, F.explode(F.array(*keys)).alias("key"))
     full = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET))
     parts = F.coalesce(F.ceil(F.col("n") / F.lit(BUCKET // 2)), F.lit(1)).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    dealt = rows.join(full, "key", "left").withColumn("parts", parts).withColumn("own", own)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("fp", F.when(F.col("parts") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).alias("key"))
-    dealt = dealt.repartition("key").sortWithinPartitions("key", "fp")
+    own = F.pmod(F.xxhash64(cols[0]), F.col("parts")).cast("int")
+    out = rows.join(full, "key", "left").withColumn("parts", parts).withColumn("own", own)
+    out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    out = out.select(*cols, F.when(F.col("parts") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).alias("key"))
+    return out.repartition("key").sortWithinPartitions("key")
+
+
+def linked(rows: DataFrame, cols: list[str], budget: int, alike: int = 0) -> DataFrame:
+    """(u, v): links of ``dealt`` rows. ``cols``: node, fingerprint, and words of the longer fingerprint if there is one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros((0, 2), np.int64)
+        held = np.zeros((0, len(cols) + 1), np.int64)
         for pdf in batches:
-            held = np.concatenate([held, pdf[["key", "fp"]].to_numpy(np.int64)])
+            held = np.concatenate([held, pdf[["key", *cols]].to_numpy(np.int64)])
             last = int(np.searchsorted(held[:, 0], held[-1, 0])) if len(held) else 0  # the last key may go on
-            if last >= 200_000:
+            if last >= 100_000:
                 yield joined(held[:last])
                 held = held[last:]
         yield joined(held)
 
     def joined(rows: np.ndarray) -> pd.DataFrame:
-        order = np.lexsort((rows[:, 1].view(np.uint64), rows[:, 0]))
-        fp = rows[order, 1]
-        got = np.array(trie_join(rows[order, 0], fp.view(np.uint64), budget), np.int64).reshape(-1, 2)
-        u, v = fp[got[:, 0]], fp[got[:, 1]]
+        prints = rows[:, 2].view(np.uint64)
+        order = np.lexsort((prints, rows[:, 0]))
+        rows, prints = rows[order], prints[order]
+        more = np.ascontiguousarray(rows[:, 3:]).view(np.uint64) if len(cols) > 2 else None
+        got = np.array(trie_join(rows[:, 0], prints, budget, more, alike), np.int64).reshape(-1, 2)
+        u, v = rows[got[:, 0], 1], rows[got[:, 1], 1]
         return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
 
-    return dealt.mapInPandas(run, "u long, v long").where("u <> v")
+    return rows.select("key", *cols).mapInPandas(run, "u long, v long").where("u <> v")
+
+
+def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
+    """(u, v): links between distinct fingerprints (column fp) that connect all that are within ``budget`` bits."""
+    if budget > len(WIDTHS) - 2:
+        raise ValueError("the blocks cover up to 4 differing bits")
+    at = [sum(WIDTHS[:k]) for k in range(len(WIDTHS))]
+    block = lambda k: F.shiftrightunsigned("fp", at[k]).bitwiseAND(F.lit((1 << WIDTHS[k]) - 1))
+    keys = [F.lit(n << 22).cast("long") + block(i) * F.lit(1 << 11) + block(j) for n, (i, j) in enumerate(combinations(range(len(WIDTHS)), 2))]
+    nodes = nodes.select(F.col("fp").alias("node"), "fp")
+    return linked(dealt(nodes, keys, ["node", "fp"]), ["node", "fp"], budget)
+
+
+def near_links(nodes: DataFrame, tables: int = TABLES, radius: int = RADIUS, alike: int = ALIKE) -> DataFrame:
+    """(u, v): links between nodes (columns node, fp, s0 to s3) whose word fingerprints meet under a key and whose shingles are alike."""
+    rng = np.random.default_rng(3)
+    blocks = [sorted(rng.choice(16, 5, replace=False).tolist()) for _ in range(tables)]
+    nibble = lambda k: F.shiftrightunsigned("fp", 4 * k).bitwiseAND(F.lit(15))
+    keys = [sum((nibble(k) * F.lit(1 << 4 * i) for i, k in enumerate(b)), F.lit(n << 20).cast("long")) for n, b in enumerate(blocks)]
+    cols = ["node", "fp", "s0", "s1", "s2", "s3"]
+    return linked(dealt(nodes, keys, cols), cols, radius, alike)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -229,30 +287,64 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("v").alias("node"), F.col("u").alias("root")).union(now.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
+def _labels(prints: DataFrame, nodes: DataFrame, edges: DataFrame, id_col: str) -> DataFrame:
+    """``prints`` (``id_col``, node) with the component_id of each; ``nodes``: node and low, its smallest id."""
+    found = components(edges)
+    known = staged(found.withColumnRenamed("node", "__n").join(nodes, F.col("__n") == F.col("node")).select("node", "root", "low"))
+    lows = staged(known.groupBy("root").agg(F.min("low").alias("component_id")))
+    table = staged(known.join(lows, "root").select("node", "component_id"))
+    table = staged(nodes.join(table, "node", "left").select("node", F.coalesce("component_id", "low").alias("component_id")))
+    return prints.join(table, "node").select(id_col, "node", "component_id")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4) -> DataFrame:
     """``id_col``, fp and component_id of every row."""
-    prints = staged(fingerprints(docs, id_col, text_col, width))
-    nodes = staged(prints.groupBy("fp").agg(F.min(id_col).alias("low")))
-    found = components(links(nodes, budget))
-    linked = staged(found.join(nodes, found["node"] == nodes["fp"]).select("fp", "root", "low"))
-    lows = staged(linked.groupBy("root").agg(F.min("low").alias("component_id")))
-    table = linked.join(lows, "root").select("fp", "component_id")
-    table = staged(nodes.join(staged(table), "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id")))
-    return prints.join(table, "fp").select(id_col, "fp", "component_id")
+    prints = staged(fingerprints(docs, id_col, text_col, width).withColumnRenamed("fp", "node"))
+    nodes = staged(prints.groupBy("node").agg(F.min(id_col).alias("low")))
+    return _labels(prints, nodes, links(nodes.withColumnRenamed("node", "fp"), budget), id_col).withColumnRenamed("node", "fp")
+
+
+def near_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
+    """``id_col``, fp of the distinct words, and s0 to s3, the 256 bits of the shingles."""
+    session(docs)
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
+            out = np.zeros((len(texts), 5), np.uint64)
+            for i, j in slices(np.array([len(t) for t in texts], np.int64), 2 * BATCH_CHARS):
+                out[i:j, 0] = majority([word_hashes(t) for t in texts[i:j]])
+                h = [shingle_hashes(t, width) for t in texts[i:j]]
+                for k in range(4):
+                    out[i:j, k + 1] = majority([spread(x, k) for x in h])
+            yield pd.DataFrame(out.view(np.int64), columns=["fp", "s0", "s1", "s2", "s3"]).assign(**{id_col: pdf[id_col].to_numpy()})[[id_col, "fp", "s0", "s1", "s2", "s3"]]
+
+    return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, fp long, s0 long, s1 long, s2 long, s3 long")
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, node (equal for equal fingerprints) and component_id of every row."""
+    words = ["fp", "s0", "s1", "s2", "s3"]
+    rows = staged(near_fingerprints(docs, id_col, text_col).withColumn("node", F.xxhash64(*words)))
+    nodes = staged(rows.groupBy("node").agg(F.min(id_col).alias("low"), *[F.first(c).alias(c) for c in words]))
+    return _labels(rows.select(id_col, "node"), nodes.select("node", "low"), near_links(nodes), id_col)
 
 
 def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, budget: int = 4) -> DataFrame:
-    """One row of each group of near copies: the one with the smallest id."""
-    found = staged(classes(docs, id_col, text_col, width, budget))
-    kept = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col, "fp").distinct()
-    again = staged(found.groupBy(id_col).count().where("count > 1").select(id_col))
-    ids = kept.select(id_col).distinct()
-    once = docs.join(ids, docs[id_col].eqNullSafe(ids[id_col]), "left_semi").join(again, docs[id_col].eqNullSafe(again[id_col]), "left_anti")
-    # rows that share an id: one per id and fingerprint of those kept
-    twice = docs.join(again, docs[id_col].eqNullSafe(again[id_col]), "left_semi").withColumn("__p", F.xxhash64(text_col)).dropDuplicates([id_col, "__p"]).drop("__p")
-    twice = twice.join(ids, twice[id_col].eqNullSafe(ids[id_col]), "left_semi")
-    return once.unionByName(twice)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies (``near_classes``): the one with the smallest id.
+
+    Of rows that share an id, those that the group keeps are one per text; rows without an id are
+    kept unless an equal text or a near copy has one.
+    """
+    found = staged(near_classes(docs, id_col, text_col))
+    ids = staged(found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct())
+    again = staged(found.groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("__again")))
+    kept = docs.join(ids, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    once = kept.join(again, F.col(id_col).eqNullSafe(F.col("__again")), "left_anti")
+    twice = kept.join(again, F.col(id_col).eqNullSafe(F.col("__again")), "left_semi").withColumn("__p", F.xxhash64(text_col))
+    return once.unionByName(twice.dropDuplicates([id_col, "__p"]).drop("__p"))

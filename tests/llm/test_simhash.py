@@ -48,10 +48,37 @@ def test_components_match_brute_force(spark):
             low[c] = min(low.get(c, i), i)
     want = Counter((i, p, low.get(c)) for (i, _), p, c in zip(pairs, prints, comp, strict=True))
     assert Counter((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in got) == want
-    kept = S.keep_one(frame(spark, pairs))
-    assert kept.columns == frame(spark, []).columns
+    assert S.classes(frame(spark, [])).count() == 0
+
+
+def test_near_copies(spark):
+    base = " ".join(f"w{i}" for i in range(400))
+    pairs = rows() + [(6000 + i, base.replace(f"w{i * 7} ", f"z{i} ")) for i in range(30)] + [(6100, " ".join(f"w{i}" for i in range(200)) + " v" * 200)]
+    df = frame(spark, pairs)
+    prints = [r for r in S.near_fingerprints(df).collect()]
+    long = [sum((r[f"s{k}"] % (1 << 64)) << 64 * k for k in range(4)) for r in prints]
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (long[i] ^ long[j]).bit_count() <= S.ALIKE and ((prints[i]["fp"] ^ prints[j]["fp"]) % (1 << 64)).bit_count() <= S.RADIUS:
+                root[find(i)] = find(j)
+    low = {}
+    for k, r in enumerate(prints):
+        if r["doc_id"] is not None:
+            low[find(k)] = min(low.get(find(k), r["doc_id"]), r["doc_id"])
+    want = Counter((r["doc_id"], low.get(find(k))) for k, r in enumerate(prints))
+    assert Counter((r["doc_id"], r["component_id"]) for r in S.near_classes(df).collect()) == want
+    assert want[(6029, 6000)] and want[(6100, 6100)]
+    kept = S.keep_one(df)
+    assert kept.columns == df.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(low.values())
-    assert S.classes(frame(spark, [])).count() == 0 and S.keep_one(frame(spark, [])).count() == 0
+    assert S.keep_one(frame(spark, [])).count() == 0
 
 
 def test_trie_join_finds_every_component():
