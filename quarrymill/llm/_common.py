@@ -30,6 +30,9 @@ def session(df: DataFrame) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``).
 
+    What is written there backs DataFrames that are still lazy, so nothing deletes it before the
+    job's end; ``qm-*`` may go then.
+
     Only where the session names none (tests on one machine) a local folder is made.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -47,11 +50,6 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def remainder(id_col: str, n: int) -> Column:
     """crc32(id as text) mod n; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % n
