@@ -78,3 +78,87 @@ def overlap_degrees(a: dict[str, Column], b: dict[str, Column]) -> Column:
 def reorder(south: Column, north: Column, west: Column, east: Column) -> Column:
     """A geocoder's (south, north, west, east) as [west, south, east, north], north never below south."""
     return F.array(west, F.least(south, north), east, F.greatest(south, north))
+
+
+def _point(x: Column, y: Column) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def ring_points(ring: Column) -> Column:
+    """[[lon, lat], ...] as points, without the closing repeat of the first."""
+    points = F.transform(ring, lambda p: _point(F.get(p, 0), F.get(p, 1)))
+    closed = (F.size(ring) > 1) & (F.get(points, 0) == F.element_at(points, -1))
+    return F.when(closed, F.slice(points, F.lit(1), F.size(points) - 1)).otherwise(points)
+
+
+def _clip(points: Column, axis: str, bound: Column, keep_above: bool) -> Column:
+    """A polygon's part on one side of a line across ``axis``: each edge gives its end, its crossing, both or nothing."""
+    from .text import let
+
+    other = "y" if axis == "x" else "x"
+    inside = lambda p: p[axis] >= bound if keep_above else p[axis] <= bound
+
+    def cross(a: Column, b: Column) -> Column:
+        t = (bound - a[axis]) / (b[axis] - a[axis])
+        along = a[other] + t * (b[other] - a[other])
+        return _point(bound, along) if axis == "x" else _point(along, bound)
+
+    def edges(ps: Column) -> Column:
+        def one(a: Column, i: Column) -> Column:
+            b = F.get(ps, (i + 1) % F.size(ps))
+            none = F.slice(ps, F.lit(1), F.lit(0))
+            return F.when(inside(a) & inside(b), F.array(b)).when(inside(a), F.array(cross(a, b))).when(inside(b), F.array(cross(a, b), b)).otherwise(none)
+
+        return F.flatten(F.transform(ps, one))
+
+    return let(points, edges)
+
+
+def clip_to_box(points: Column, w: Column, s: Column, e: Column, n: Column) -> Column:
+    """The part of a ring (points) inside a box."""
+    out = points
+    for axis, bound, above in (("x", w, True), ("x", e, False), ("y", s, True), ("y", n, False)):
+        out = _clip(out, axis, bound.cast("double"), above)
+    return out
+
+
+def twice_area(points: Column) -> Column:
+    """Twice the signed area of a ring of points."""
+    from .text import let
+
+    def total(ps: Column) -> Column:
+        def add(sum_: Column, i: Column) -> Column:
+            a, b = F.get(ps, i), F.get(ps, (i + 1) % F.size(ps))
+            return sum_ + a["x"] * b["y"] - b["x"] * a["y"]
+
+        return F.when(F.size(ps) < 3, 0.0).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(ps) - 1), F.lit(0.0), add))
+
+    return let(points, total)
+
+
+def projected(points: Column) -> Column:
+    return F.transform(points, lambda p: _point(*laea(p["x"], p["y"])))
+
+
+def overlap_km2(rings: Column, w: Column, s: Column, e: Column, n: Column) -> Column:
+    """Area that a box shares with a geometry's rings, in square kilometres of the projection.
+
+    Outer rings and holes have opposite turns, as GeoJSON asks, so their signed areas add up.
+    """
+    sums = F.aggregate(rings, F.lit(0.0), lambda t, r: t + twice_area(projected(clip_to_box(ring_points(r), w, s, e, n))))
+    return F.abs(sums) / 2e6
+
+
+def covers(rings: Column, x: Column, y: Column) -> Column:
+    """Whether a point lies in a geometry: an odd number of its edges cross the ray to the east."""
+    from .text import let
+
+    def crossings(ps: Column) -> Column:
+        def hit(a: Column, i: Column) -> Column:
+            b = F.get(ps, (i + 1) % F.size(ps))
+            across = (a["y"] > y) != (b["y"] > y)
+            return F.when(across & (x < (b["x"] - a["x"]) * (y - a["y"]) / (b["y"] - a["y"]) + a["x"]), 1).otherwise(0)
+
+        return F.aggregate(F.transform(ps, hit), F.lit(0), lambda t, v: t + v)
+
+    return F.aggregate(rings, F.lit(0), lambda t, r: t + let(ring_points(r), crossings)) % 2 == 1
