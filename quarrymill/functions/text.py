@@ -127,4 +127,4 @@ def iso_language(x: Column, table: list[tuple[str, str]]) -> Column:
 def orcid_date(y: Column, m: Column, d: Column) -> Column:
     """A partial date: a missing month or day is the first; what is no date is NULL."""
     part = lambda x, least: F.coalesce(x.cast("string"), F.lit(str(least)))
-    return F.concat_ws("-", F.lpad(part(y, 1), 4, "0"), F.lpad(part(m, 1), 2, "0"), F.lpad(part(d, 1), 2, "0")).try_cast("date")
+    return F.concat_ws("-", F.lpad(part(y, 1), 4, "0"), part(m, 1), part(d, 1)).try_cast("date")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.geo import overlap_degrees, overlaps, shape
+from ..functions.geo import covers, overlap_degrees, overlap_km2, overlaps, shape
 
 #: Degrees of a grid cell that turns the overlap join into an equi-join.
 CELL = 15
@@ -25,21 +25,30 @@ def cells(w: Column, s: Column, e: Column, n: Column, step: int = CELL) -> Colum
 def box_hits(boxes: DataFrame, countries: DataFrame) -> DataFrame:
     """Each box with every country whose bounds it touches: box columns, name, is_eu, area, country_area, coverage.
 
-    The area of a line is the length inside, and that of a point 1.
+    The area of a line is the length inside, and that of a point 1. With a column ``rings`` the
+    countries are polygons: areas are those that box and polygon share in the projection, in
+    square kilometres, a point counts where it lies inside, and bounds only choose the candidates.
 
     Both sides are dealt to grid cells and joined by cell; a pair counts in the first cell that
     both share only, so no duplicate has to be removed by a shuffle.
     """
     left = boxes.withColumn("__cell", F.explode(cells(F.col("w"), F.col("s"), F.col("e"), F.col("n"))))
-    right = countries.select("name", "is_eu", *[F.col(c).alias(f"c{c}") for c in "wsen"]).withColumn("__cell", F.explode(cells(F.col("cw"), F.col("cs"), F.col("ce"), F.col("cn"))))
+    exact = ["rings"] if "rings" in countries.columns else []
+    right = countries.select("name", "is_eu", *exact, *[F.col(c).alias(f"c{c}") for c in "wsen"]).withColumn("__cell", F.explode(cells(F.col("cw"), F.col("cs"), F.col("ce"), F.col("cn"))))
     a, b = {c: F.col(c) for c in "wsen"}, {c: F.col(f"c{c}") for c in "wsen"}
     first = F.floor(F.greatest("w", "cw") / CELL).cast("int") * 1000 + F.floor(F.greatest("s", "cs") / CELL).cast("int")
     pairs = left.join(right, "__cell").where(overlaps(a, b) & (F.col("__cell") == first))
     country = (F.col("ce") - F.col("cw")) * (F.col("cn") - F.col("cs"))
     both = [F.least(a[hi], b[hi]) - F.greatest(a[lo], b[lo]) for lo, hi in (("w", "e"), ("s", "n"))]
     kind = shape(a)
-    size = F.when(kind == "point", 1.0).when(kind == "line", F.greatest(*both)).otherwise(overlap_degrees(a, b))
-    out = pairs.withColumn("area", size).withColumn("country_area", country)
+    box, one = overlap_degrees(a, b), F.lit(1.0)
+    if exact:
+        rings = F.col("rings")
+        one = F.when(covers(rings, a["w"], a["s"]), 1.0).otherwise(0.0)
+        box = overlap_km2(rings, *[F.greatest(a[c], b[c]) for c in "ws"], *[F.least(a[c], b[c]) for c in "en"])
+        country = overlap_km2(rings, *[b[c] for c in "wsen"])
+    size = F.when(kind == "point", one).when(kind == "line", F.greatest(*both)).otherwise(box)
+    out = pairs.withColumn("area", size).withColumn("country_area", country).drop(*exact)
     return out.withColumn("coverage", F.col("area") / F.col("country_area")).drop("__cell", *[f"c{c}" for c in "wsen"])
 
 

@@ -58,6 +58,19 @@ def test_random_points(spark):
     assert got == [inside(x, y) for x, y in points]
 
 
+def test_polygon_countries(spark):
+    from quarrymill.operators import spatial as S
+
+    tri = [[[0.0, 45.0], [10.0, 45.0], [0.0, 50.0], [0.0, 45.0]]]
+    rest = [[[10.0, 45.0], [10.0, 50.0], [0.0, 50.0], [10.0, 45.0]]]
+    land = spark.createDataFrame([("A", True, tri, 0.0, 45.0, 10.0, 50.0), ("B", True, rest, 0.0, 45.0, 10.0, 50.0)], "name string, is_eu boolean, rings array<array<array<double>>>, w double, s double, e double, n double")
+    boxes = spark.createDataFrame([(1, 0.5, 45.5, 1.5, 46.5), (2, 8.5, 48.5, 9.5, 49.5), (3, 0.0, 45.0, 10.0, 50.0), (4, 1.0, 46.0, 1.0, 46.0), (5, 9.0, 49.0, 9.0, 49.0)], "id int, w double, s double, e double, n double")
+    rows = {r["id"]: r for r in S.classify(boxes, land, "id").collect()}
+    assert {k: (r["classification"].split("_")[0], r["top"]) for k, r in rows.items()} == {1: ("single", "A"), 2: ("single", "B"), 3: ("single", "A"), 4: ("single", "A"), 5: ("single", "B")}
+    shares = S.shares(S.box_hits(boxes.where("id = 3"), land), "id").first()["countries"]
+    assert abs(shares["A"] - 0.516) < 0.01 and abs(sum(shares.values()) - 1) < 1e-3
+
+
 def test_lookups(spark):
     works = json.dumps({"message": {"title": ["T"], "type": "dataset", "issued": {"date-parts": [[2020, 3]]}, "reference": [{"DOI": "10.1/a"}, {"doi": " 10.1/b "}, {"DOI": "10.1/a"}, {}]}})
     cache = spark.createDataFrame([("k", 200, works), ("gone", 404, None)], "key string, status int, body string")
