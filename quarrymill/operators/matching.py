@@ -30,8 +30,8 @@ def fuzzy_scores(keys: DataFrame, labels: DataFrame, least: int) -> DataFrame:
     """(key, concept, pos, label, score) for all pairs of distinct keys and labels that score ``least`` or more.
 
     A score of t needs lengths within a factor of (200 - t) / t, so each label is dealt to the key
-    lengths it can reach and the join is an equi-join on length, no nested loop; letters that
-    only one side has lower the bound further before the table of the subsequence is built.
+    lengths it can reach and the join is an equi-join on length, no nested loop; pairs without a
+    letter in common are dropped before the table of the subsequence is built.
     """
     t = least - 0.5
     short, long = t / (200 - t), (200 - t) / t
@@ -67,35 +67,38 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
+#: Queries and corpus rows that one task of ``top_k`` holds.
+QUERY_BLOCK, CORPUS_BLOCK = 2048, 65_536
+
+
 def top_k(queries: DataFrame, corpus: DataFrame, k: int, floor: float) -> DataFrame:
-    """(query, vec, score): the k nearest by cosine at ``floor`` or over, of all of ``corpus`` (id, v), for a stated set of queries (id, v).
+    """(query, vec, score, rank): the k nearest by cosine at ``floor`` or over, of all of ``corpus`` (id, v), for a stated set of queries (id, v).
 
-    Queries are dealt in blocks over the corpus, and each task keeps k per query before the
-    shuffle, so what moves grows with queries and tasks, not with pairs.
+    Queries and corpus are cut into blocks by hash; each pair of blocks is one task of bounded
+    size, which returns k rows per query at most, so what moves grows with queries and blocks,
+    not with pairs, and nothing is collected.
     """
     import numpy as np
     import pandas as pd
 
-    qs = queries.sparkSession.sparkContext.broadcast([(r["id"], np.asarray(r["v"], float)) for r in queries.orderBy("id").toLocalIterator()])
-
-    def run(batches):
-        ids = [i for i, _ in qs.value]
-        if not ids:
-            return
-        q = np.stack([v for _, v in qs.value])
-        q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            x = np.stack(pdf["v"].to_numpy()).astype(float)
-            x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-            own = pdf["id"].to_numpy()
-            for a in range(0, len(ids), 256):
-                s = q[a : a + 256] @ x.T
-                cut = np.sort(np.round(s, 6), axis=1)[:, -min(k + 1, s.shape[1])]  # one more: a query may meet itself
-                r, c = np.nonzero((np.round(s, 6) >= np.maximum(cut, floor)[:, None]))
-                yield pd.DataFrame({"query": np.asarray(ids)[a + r], "vec": own[c], "score": np.round(s[r, c], 6)})
-
-    near = corpus.select("id", "v").mapInPandas(run, "query long, vec long, score double").where("query <> vec")
+    n_queries, n_corpus = (-(-max(df.count(), 1) // size) for df, size in ((queries, QUERY_BLOCK), (corpus, CORPUS_BLOCK)))
+    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = queries.select("id", "v", block(n_queries).alias("q")).withColumn("c", every(n_corpus))
+    right = corpus.select("id", "v", block(n_corpus).alias("c")).withColumn("q", every(n_queries))
+
+    def nearest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"query": [], "vec": [], "score": []})
+        unit = lambda df: (x := np.stack(df["v"].to_numpy()).astype(float)) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+        s = np.round(unit(a) @ unit(b).T, 6)
+        own, other = a["id"].to_numpy(), b["id"].to_numpy()
+        s[own[:, None] == other] = -2.0  # a query doesn't find itself
+        order = np.lexsort((np.broadcast_to(other, s.shape), -s), axis=1)[:, :k]
+        score = np.take_along_axis(s, order, axis=1)
+        r, c = np.nonzero(score >= max(floor, -1.0))
+        return pd.DataFrame({"query": own[r], "vec": other[order[r, c]], "score": score[r, c]})
+
+    near = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInPandas(nearest, "query long, vec long, score double")
     w = Window.partitionBy("query").orderBy(F.desc("score"), "vec")
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
