@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.text import present
 
@@ -34,6 +35,18 @@ def cited_by(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("reference").isNotNull()).groupBy("reference").agg(F.array_sort(F.collect_set("citing")).alias("citing")).withColumn("n_citing", F.size("citing").cast("long"))
 
 
+def index_quantiles(rows: DataFrame, by: str, value: str, at: dict[str, str]) -> DataFrame:
+    """Per group: n, least, most, and for each name in ``at`` the value at a place of the sorted values (SQL over n, from 0).
+
+    Values are counted first, so a group's window holds its distinct values, not its rows.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy(by)
+    x = counts.withColumn("upto", F.sum("c").over(w.orderBy(value))).withColumn("n", F.sum("c").over(w))
+    pick = [F.min(F.when(F.col("upto") > F.expr(e), F.col(value))).alias(name) for name, e in at.items()]
+    return x.groupBy(by).agg(F.max("n").alias("n"), F.min(value).alias("least"), *pick, F.max(value).alias("most"))
+
+
 def scores(pairs: DataFrame, legacy: bool = False) -> DataFrame:
     """Micro precision, recall and F1 of label sets (truth, given).
 

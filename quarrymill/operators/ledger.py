@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def not_in(records: DataFrame, key: str, done: DataFrame, done_key: str) -> DataFrame:
@@ -36,8 +35,9 @@ def stale(records: DataFrame, key: str, ledger: DataFrame, ledger_key: str, date
 
 
 def append_new(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` and the ``rows`` whose keys it lacks; the first of rows with equal keys."""
-    one = rows.withColumn("__k", F.row_number().over(Window.partitionBy(*keys).orderBy(*rows.columns))).where("__k = 1").drop("__k")
+    """``target`` and the ``rows`` whose keys it lacks; the least of rows with equal keys."""
+    rest = [c for c in rows.columns if c not in keys]
+    one = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__r")).select(*keys, "__r.*") if rest else rows.distinct()
     return target.unionByName(one.join(target.select(*keys), keys, "left_anti"))
 
 
@@ -54,10 +54,9 @@ def any_value(rows: DataFrame, key: str, value: str, alias: str) -> DataFrame:
 
 
 def keep_first(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """The first row of each key, with how many it stands for."""
-    w = Window.partitionBy(key)
-    out = rows.withColumn("__k", F.row_number().over(w.orderBy(*order))).withColumn("n_rows", F.count(F.lit(1)).over(w))
-    return out.where("__k = 1").drop("__k")
+    """The first row of each key, with how many it stands for: an aggregate, combined before the shuffle, so a hot key is one row a task."""
+    first = F.min_by(F.struct(*rows.columns), F.struct(*order, *[F.col(c).alias(f"__{c}") for c in rows.columns]))
+    return rows.groupBy(F.col(key).alias("__key")).agg(first.alias("__r"), F.count(F.lit(1)).alias("n_rows")).select("__r.*", "n_rows")
 
 
 def either_key(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], out: list[str]) -> DataFrame:

@@ -47,8 +47,9 @@ def fuzzy_scores(keys: DataFrame, labels: DataFrame, least: int) -> DataFrame:
 
 def best_label(scored: DataFrame, by: list[str]) -> DataFrame:
     """The best label per ``by``: highest score, then first concept, then label."""
-    w = Window.partitionBy(*by).orderBy(F.desc("score"), "pos", "label")
-    return scored.withColumn("__k", F.row_number().over(w)).where("__k = 1").drop("__k")
+    rest = [c for c in scored.columns if c not in by]
+    best = F.min_by(F.struct(*rest), F.struct(-F.col("score"), F.col("pos"), F.col("label")))
+    return scored.groupBy(*by).agg(best.alias("__r")).select(*by, "__r.*")
 
 
 def cascade(subjects: DataFrame, stages: list[tuple[str, DataFrame]], subject_id: str) -> DataFrame:

@@ -269,12 +269,7 @@ SELECT lang, max(n) AS n, min(n_chars) AS least, max(CASE WHEN k = n // 4 THEN n
   max(CASE WHEN k = 3 * n // 4 THEN n_chars END) AS p75, max(n_chars) AS most FROM r GROUP BY lang
 """)
 def sample_description(spark: SparkSession, sf: str) -> DataFrame:
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("lang")
-    r = table(spark, sf, "documents").select("lang", "n_chars", (F.row_number().over(w.orderBy("n_chars")) - 1).alias("k"), F.count(F.lit(1)).over(w).alias("n"))
-    at = lambda e: F.max(F.when(F.col("k") == F.expr(e), F.col("n_chars")))
-    return r.groupBy("lang").agg(F.max("n").alias("n"), F.min("n_chars").alias("least"), at("n div 4").alias("p25"), at("n div 2").alias("median"), at("3 * n div 4").alias("p75"), F.max("n_chars").alias("most"))
+    return A.index_quantiles(table(spark, sf, "documents"), "lang", "n_chars", {"p25": "n div 4", "median": "n div 2", "p75": "3 * n div 4"})
 
 
 @query("""
