@@ -70,9 +70,8 @@ def buckets(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Model:
     """The document logit is ``logit[buckets].mean() + bias``: embeddings times the softmax weights' difference."""
 
-    def __init__(self, embed: np.ndarray, weight: np.ndarray, bias: np.ndarray):
-        self.logit = (embed @ (weight[1] - weight[0])).astype(np.float32)
-        self.bias = float(bias[1] - bias[0])
+    def __init__(self, logit: np.ndarray, bias: float):
+        self.logit, self.bias = logit.astype(np.float32), float(bias)
 
 
 def train(samples: list[tuple[int, np.ndarray, np.ndarray]], dim: int = 16, epochs: int = 8, rate: float = 0.2, seed: int = 1) -> Model:
@@ -82,7 +81,7 @@ def train(samples: list[tuple[int, np.ndarray, np.ndarray]], dim: int = 16, epoc
     weight, bias = rng.normal(0, 0.1, (2, dim)), np.zeros(2)
     share = np.bincount([y for y, _, _ in samples], minlength=2) / max(len(samples), 1)
     if not samples or share.min() == 0:
-        return Model(np.zeros((BUCKETS, dim)), weight, np.array([0.0, 0.0]))
+        return Model(np.zeros(BUCKETS), 0.0)
     step, steps = 0, epochs * len(samples)
     for _ in range(epochs):
         for i in rng.permutation(len(samples)):
@@ -101,11 +100,11 @@ def train(samples: list[tuple[int, np.ndarray, np.ndarray]], dim: int = 16, epoc
             bias -= lr * 0.1 * p
             if len(idx):
                 embed[idx] -= (lr * back).astype(np.float32)  # each feature of the text once, so the mean moves by the whole step
-    return Model(embed, weight, bias)
+    return Model(embed @ (weight[1] - weight[0]), bias[1] - bias[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_train_docs: int = 3000) -> Model:
-    """Trains on at most ``max_train_docs`` labelled rows, picked by hash; only their feature counts reach the driver."""
+    """Trains on at most ``max_train_docs`` labelled rows, picked by hash, in one task; only the model reaches the driver."""
     session(docs)
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -122,9 +121,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 out.append((key, y, idx.astype(np.uint32).tobytes(), n.astype(np.uint32).tobytes()))
             yield pd.DataFrame(out, columns=["id", "y", "idx", "n"])
 
-    rows = sample.mapInPandas(count, f"id {dict(sample.dtypes)['id']}, y int, idx binary, n binary").collect()
-    rows.sort(key=lambda r: r["id"])
-    return train([(r["y"], np.frombuffer(r["idx"], np.uint32), np.frombuffer(r["n"], np.uint32)) for r in rows])
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [r for pdf in batches for r in pdf.itertuples(index=False)]
+        rows.sort(key=lambda r: r.id)
+        model = train([(r.y, np.frombuffer(r.idx, np.uint32), np.frombuffer(r.n, np.uint32)) for r in rows])
+        yield pd.DataFrame({"logit": [model.logit.tobytes()], "bias": [model.bias]})
+
+    features = sample.mapInPandas(count, f"id {dict(sample.dtypes)['id']}, y int, idx binary, n binary")
+    got = features.repartition(1).mapInPandas(learn, "logit binary, bias double").first()
+    return Model(np.frombuffer(got["logit"], np.float32), got["bias"]) if got else train([])
 
 
 def _probabilities(texts: list[str | None], m: Model) -> np.ndarray:
