@@ -344,7 +344,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = staged(near_classes(docs, id_col, text_col))
     ids = staged(found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id")).distinct())
     again = staged(found.groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("__again")))
-    kept = docs.join(ids, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    # as large as the documents at any size that matters: the same plan at all sizes, so that small runs tell of large ones
+    kept = docs.join(ids.hint("shuffle_merge"), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
     once = kept.join(again, F.col(id_col).eqNullSafe(F.col("__again")), "left_anti")
     twice = kept.join(again, F.col(id_col).eqNullSafe(F.col("__again")), "left_semi").withColumn("__p", F.xxhash64(text_col))
     return once.unionByName(twice.dropDuplicates([id_col, "__p"]).drop("__p"))
