@@ -7,18 +7,23 @@ bounds a worker's memory whatever the document lengths are.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that a worker expands into numpy arrays at once.
 BATCH_CHARS = 250_000
 #: Bytes of rows that go to a Python worker at once.
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 8 << 20
 
 
 def session(df: DataFrame) -> SparkSession:
@@ -27,6 +32,22 @@ def session(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
+def trimmed(f):
+    """A batch function whose worker gives freed memory back when it is done: idle workers then stay small."""
+
+    @functools.wraps(f)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from f(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # glibc only
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``).
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import session
+from ._common import session, trimmed
 from .tokens import encoder
 
 
@@ -72,6 +72,7 @@ def write(docs: DataFrame, out: str, vocabulary: str, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text").select("id", "text")
 
+    @trimmed
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
         store, root = _open(out)
@@ -110,6 +111,7 @@ def read(spark: SparkSession, files: list[dict]) -> DataFrame:
         start += f["ids"]
     listed = spark.createDataFrame(base or [("", 0)], "path string, base long").where("path != ''").repartition(max(len(base), 1))
 
+    @trimmed
     def load(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, at in zip(pdf["path"], pdf["base"], strict=True):

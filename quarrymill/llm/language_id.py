@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import bounded_sample, code_points, lower_same_length, session, slices
+from ._common import bounded_sample, code_points, lower_same_length, session, slices, trimmed
 
 BUCKETS = 1 << 16
 #: Starts of Unicode blocks and the script they belong to (public block chart); the rest is "other".
@@ -97,6 +97,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_train_do
     ids = bounded_sample(rows.select("id", "lang"), "id", ["lang"], max_train_docs).select("id")
     sample = rows.join(F.broadcast(ids), "id").where(F.col("text").isNotNull())
 
+    @trimmed
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grams: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
@@ -191,6 +192,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     kind = dict(rows.dtypes)[id_col]
     shared = session(docs).sparkContext.broadcast(model)
 
+    @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for pdf in batches:

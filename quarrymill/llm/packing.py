@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import session, staged
+from ._common import session, staged, trimmed
 from .tokens import encoder
 
 SALTS = 64
@@ -203,6 +203,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, id_col: str = "doc_i
     session(docs)
     rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
+    @trimmed
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(vocabulary)
         end = np.array([end_id], "<u4")
@@ -236,6 +237,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str = "
     ranked = rows.withColumn("rank", F.row_number().over(inside)).join(offsets, ["length", "salt"])
     ranked = ranked.select(id_col, "piece", "start", "length", "ids_crc32", (F.col("rank") - 1 + F.col("base")).alias("rank"))
 
+    @trimmed
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = shared.value
         for pdf in batches:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import bounded_sample, code_points, session, slices
+from ._common import bounded_sample, code_points, session, slices, trimmed
 
 BUCKETS = 1 << 17
 #: The bucket of a word that repeats the one before it.
@@ -112,6 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     ids = bounded_sample(known, "id", ["y"], max_train_docs)
     sample = texts.join(F.broadcast(ids), "id").dropDuplicates(["id"])
 
+    @trimmed
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
@@ -121,6 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 out.append((key, y, idx.astype(np.uint32).tobytes(), n.astype(np.uint32).tobytes()))
             yield pd.DataFrame(out, columns=["id", "y", "idx", "n"])
 
+    @trimmed
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [r for pdf in batches for r in pdf.itertuples(index=False)]
         rows.sort(key=lambda r: r.id)
@@ -152,6 +154,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     shared = session(docs).sparkContext.broadcast(model)
 
+    @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             p = _probabilities(pdf["text"].tolist(), shared.value)
@@ -165,6 +168,7 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", least: float
     shared = session(docs).sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
+    @trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(_probabilities(batch.column(at).to_pylist(), shared.value) >= least))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BATCH_CHARS, session, slices, staged
+from ._common import BATCH_CHARS, session, slices, staged, trimmed
 
 SEED = 42
 WIDTHS = [11, 11, 11, 11, 10, 10]
@@ -103,6 +103,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     session(docs)
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
 
+    @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
@@ -221,6 +222,7 @@ def dealt(nodes: DataFrame, keys: list[Column], cols: list[str]) -> DataFrame:
 def linked(rows: DataFrame, cols: list[str], budget: int, alike: int = 0) -> DataFrame:
     """(u, v): links of ``dealt`` rows. ``cols``: node, fingerprint, and words of the longer fingerprint if there is one."""
 
+    @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.zeros((0, len(cols) + 1), np.int64)
         for pdf in batches:
@@ -309,6 +311,7 @@ def near_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     session(docs)
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
 
+    @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
