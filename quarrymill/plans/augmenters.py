@@ -11,7 +11,7 @@ from ..operators import ledger as L
 from ..operators import matching as M
 
 
-def elements(records: DataFrame, done: DataFrame, mappings: dict[str, DataFrame], as_of: Column, process: str = "element-matcher") -> DataFrame:
+def elements(records: DataFrame, done: DataFrame, mappings: dict[str, DataFrame], as_of: Column, process: str = "elements") -> DataFrame:
     """Each pending record's type, language and so on as its mapping says; a row for every record and property, mapped or not."""
     rows = L.not_in(records, "identifier", done.where(F.col("process").ilike(process)), "record_id").dropDuplicates(["identifier"])
     for name, table in mappings.items():

@@ -178,15 +178,15 @@ def keep_first_by_identifier(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT CAST(p_partkey AS VARCHAR) AS record_id, 'type' AS property, CASE p_type WHEN 'ECONOMY' THEN 'Dataset' WHEN 'PROMO' THEN 'Journal Article' END AS value, 'element-matcher' AS process FROM part
-UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'size', CAST(p_size AS VARCHAR), 'element-matcher' FROM part
+SELECT CAST(p_partkey AS VARCHAR) AS record_id, 'type' AS property, CASE p_type WHEN 'ECONOMY' THEN 'Dataset' WHEN 'PROMO' THEN 'Journal Article' END AS value, 'elements' AS process FROM part
+UNION ALL SELECT CAST(p_partkey AS VARCHAR), 'size', CAST(p_size AS VARCHAR), 'elements' FROM part
 """)
 def augment_rows(spark: SparkSession, sf: str) -> DataFrame:
     from .operators.matching import dictionary
 
     mapping = spark.createDataFrame([("Economy", "Old", 0), ("ECONOMY", "Dataset", 1), ("promo", "Journal Article", 2), ("small", "", 3)], "source_label string, target_label string, pos int")
     rows = dictionary(table(spark, sf, "part"), "p_type", mapping, "mapped")
-    return L.augment(rows, "p_partkey", {"type": F.col("mapped"), "size": F.col("p_size")}, "element-matcher", as_of()).drop("date")
+    return L.augment(rows, "p_partkey", {"type": F.col("mapped"), "size": F.col("p_size")}, "elements", as_of()).drop("date")
 
 
 @query("""

@@ -139,7 +139,7 @@ def test_plans(spark, tmp_path):
     assert [tuple(r)[:3] for r in P.translated(records, queue).orderBy("identifier").collect()] == [("a", "Title", "A"), ("b", "Ex", "X"), ("c", "E", "E2")]
     assert P.translation_requests(records, queue.limit(0), F.lit("2020-06-01").cast("timestamp")).count() == 3
     mapping = spark.createDataFrame([("DE", "German", 0), ("fr", "", 1)], "source_label string, target_label string, pos int")
-    done = spark.createDataFrame([("c", "ELEMENT-matcher")], "record_id string, process string")
+    done = spark.createDataFrame([("c", "ELEMENTS")], "record_id string, process string")
     rows = P.elements(records, done, {"language": mapping}, F.lit("2020-01-01").cast("timestamp"))
     assert sorted((r["record_id"], r["value"]) for r in rows.collect()) == [("a", "German"), ("b", None)]
     cache = spark.createDataFrame([("10.1234/a", 200, "https://x.org/p/", '<a href="f.pdf">'), ("10.1234/b", 500, None, None)], "doi string, status int, url string, body string")
