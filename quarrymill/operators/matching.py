@@ -102,4 +102,4 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, floor: float) -> DataFr
 
     near = left.groupBy("q", "c").cogroup(right.groupBy("q", "c")).applyInPandas(nearest, "query long, vec long, score double")
     w = Window.partitionBy("query").orderBy(F.desc("score"), "vec")
-    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return near.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)

@@ -329,7 +329,7 @@ def top_15_per_group(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.sql.window import Window
 
     w = Window.partitionBy("c_nationkey").orderBy(F.desc("c_acctbal"), "c_custkey")
-    top = table(spark, sf, "customer").withColumn("rank", F.row_number().over(w)).where("rank <= 15")
+    top = table(spark, sf, "customer").withColumn("rank", F.row_number().over(w).cast("long")).where("rank <= 15")
     return top.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("n_name", "c_custkey", "rank")
 
 
