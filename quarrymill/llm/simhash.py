@@ -12,12 +12,10 @@ Two forms:
 
 - ``classes``: 64-bit fingerprints of word shingles within 4 bits, exactly. Such a pair agrees in
   at least 2 of 6 blocks, so the keys are the 15 pairs of blocks.
-- ``near_classes``: texts whose five-word shingles have a similarity of 0.8 or more: equal bits of
-  256-bit fingerprints of the shingles, so at most ``ALIKE`` differ (a Jaccard index of 0.8 makes
-  39 on average, unlike texts 128). No key of such a fingerprint is sure to be equal. The trie
-  holds 64-bit fingerprints of the texts' distinct words instead, which few changed words hardly
-  move (``RADIUS`` bits), under ``TABLES`` keys of 5 of 16 blocks each, so that a pair is missed
-  only if all keys differ; the longer fingerprints then decide.
+- ``near_classes``: texts whose sets of five-word shingles have a Jaccard index of 0.8 or more.
+  Every link is checked on the sets. Candidates are 64-bit fingerprints of the distinct words within
+  ``RADIUS`` bits under ``TABLES`` keys of 5 of 16 blocks each, and 256-bit ones of the shingles
+  within ``ALIKE`` bits; a pair is missed if all keys differ.
 
 Null text counts as empty: fingerprint zero, linked like any other. Rows with a null id take
 part in links; a component's id is its smallest non-null id. Repeated rows keep their rows.
@@ -307,7 +305,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 
 
 def near_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
-    """``id_col``, fp of the distinct words, and s0 to s3, the 256 bits of the shingles."""
+    """``id_col``, fp of the distinct words, s0 to s3, the 256 bits of the shingles, and the sorted hashes of the distinct shingles."""
     session(docs)
     rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
 
@@ -316,22 +314,45 @@ def near_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for pdf in batches:
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
             out = np.zeros((len(texts), 5), np.uint64)
+            sets: list[bytes] = []
             for i, j in slices(np.array([len(t) for t in texts], np.int64), 2 * BATCH_CHARS):
                 out[i:j, 0] = majority([word_hashes(t) for t in texts[i:j]])
                 h = [shingle_hashes(t, width) for t in texts[i:j]]
                 for k in range(4):
                     out[i:j, k + 1] = majority([spread(x, k) for x in h])
-            yield pd.DataFrame(out.view(np.int64), columns=["fp", "s0", "s1", "s2", "s3"]).assign(**{id_col: pdf[id_col].to_numpy()})[[id_col, "fp", "s0", "s1", "s2", "s3"]]
+                sets += [np.unique(x).tobytes() for x in h]
+            found = pd.DataFrame(out.view(np.int64), columns=["fp", "s0", "s1", "s2", "s3"]).assign(**{id_col: pdf[id_col].to_numpy(), "shingles": sets})
+            yield found[[id_col, "fp", "s0", "s1", "s2", "s3", "shingles"]]
 
-    return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, fp long, s0 long, s1 long, s2 long, s3 long")
+    return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, fp long, s0 long, s1 long, s2 long, s3 long, shingles binary")
+
+
+def alike_pairs(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those of the pairs (u, v) whose sets have a Jaccard index of 0.8 or more."""
+    some = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = staged(rows.select("row", "shingles").join(nodes.join(some, "node", "left_semi").select("row", "node"), "row").select("node", "shingles"))
+    both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+
+    @trimmed
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            good = []
+            for a, b in zip(pdf["a"], pdf["b"], strict=True):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(9 * both >= 4 * (len(x) + len(y)))
+            yield pdf.loc[np.array(good, bool), ["u", "v"]]
+
+    return staged(both.select("u", "v", "a", "b").mapInPandas(run, "u long, v long"))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, node (equal for equal fingerprints) and component_id of every row."""
+    """``id_col``, node (equal for equal sets of shingles) and component_id of every row."""
     words = ["fp", "s0", "s1", "s2", "s3"]
-    rows = staged(near_fingerprints(docs, id_col, text_col).withColumn("node", F.xxhash64(*words)))
-    nodes = staged(rows.groupBy("node").agg(F.min(id_col).alias("low"), *[F.first(c).alias(c) for c in words]))
-    return _labels(rows.select(id_col, "node"), nodes.select("node", "low"), near_links(nodes), id_col)
+    rows = staged(near_fingerprints(docs, id_col, text_col).withColumn("node", F.xxhash64("shingles")).withColumn("row", F.monotonically_increasing_id()))
+    nodes = staged(rows.groupBy("node").agg(F.min(id_col).alias("low"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in words]))
+    first = alike_pairs(staged(near_links(nodes).distinct()), rows, nodes)
+    return _labels(rows.select(id_col, "node"), nodes.select("node", "low"), first, id_col)
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -112,3 +112,44 @@ def test_full_buckets_are_dealt_out(spark, monkeypatch):
     nodes = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fp long")
     found = S.components(S.links(nodes)).collect()
     assert len({r["root"] for r in found}) == len(set(groups([int(p) for p in prints]))) == 1 and len(found) == len(prints)
+
+
+def jaccard_groups(texts, least=0.8):
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(sets))]
+
+
+def components_of(spark, texts):
+    got = {r["doc_id"]: r["component_id"] for r in S.near_classes(frame(spark, list(enumerate(texts)))).collect()}
+    groups = jaccard_groups(texts)
+    low = {g: min(i for i, x in enumerate(groups) if x == g) for g in groups}
+    return got, {i: low[g] for i, g in enumerate(groups)}
+
+
+def test_no_link_below_the_similarity(spark):
+    rng = np.random.default_rng(10)
+    texts = []
+    for _ in range(30):
+        base = [f"v{x}" for x in rng.integers(0, 1 << 40, 300)]
+        for changes in (9, 14, 20):
+            copy = list(base)
+            for k in rng.choice(300, changes, replace=False):
+                copy[k] = f"z{rng.integers(0, 1 << 40)}"
+            texts.append(copy)
+        texts.append(base)
+    got, want = components_of(spark, [" ".join(t) for t in texts])
+    assert got == want
