@@ -12,10 +12,12 @@ Two forms:
 
 - ``classes``: 64-bit fingerprints of word shingles within 4 bits, exactly. Such a pair agrees in
   at least 2 of 6 blocks, so the keys are the 15 pairs of blocks.
-- ``near_classes``: texts whose sets of five-word shingles have a Jaccard index of 0.8 or more.
-  Every link is checked on the sets. Candidates are 64-bit fingerprints of the distinct words within
-  ``RADIUS`` bits under ``TABLES`` keys of 5 of 16 blocks each, and 256-bit ones of the shingles
-  within ``ALIKE`` bits; a pair is missed if all keys differ.
+- ``near_classes``: texts whose sets of five-word shingles have a Jaccard index of 0.8 or more,
+  exactly. Every link is checked on the sets. Candidates come in two steps. Fingerprints go first,
+  so that a group of copies need not become all its pairs: 64-bit ones of the distinct words within
+  ``RADIUS`` bits under ``TABLES`` keys, and 256-bit ones of the shingles within ``ALIKE`` bits.
+  What these miss comes from prefixes: with all shingles in one order, sets of that similarity
+  share one of their first n - 0.8 n + 1. Those that many texts hold come last in it.
 
 Null text counts as empty: fingerprint zero, linked like any other. Rows with a null id take
 part in links; a component's id is its smallest non-null id. Repeated rows keep their rows.
@@ -42,6 +44,8 @@ BUCKET = 40_000
 FRONTIER = 250_000
 #: Of the near form: bits that word fingerprints may differ in, keys, and bits of the shingles' fingerprints.
 RADIUS, TABLES, ALIKE, NEAR_WIDTH = 12, 32, 51, 5
+#: Shingles in the prefixes of more rows than this come last in the order, the most frequent ``LAST`` of them.
+COMMON, LAST = 50, 1_000_000
 
 
 def shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -327,6 +331,67 @@ def near_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, fp long, s0 long, s1 long, s2 long, s3 long, shingles binary")
 
 
+def prefixes(sets: DataFrame, last: np.ndarray) -> DataFrame:
+    """(row, token, pos, n): the shingles of each set (row, shingles) that all sets alike share one of; ``last`` (sorted) end the order."""
+    shared = session(sets).sparkContext.broadcast(last)
+
+    @trimmed
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = shared.value
+        for pdf in batches:
+            out = [np.zeros((0, 4), np.int64)]
+            for row, raw in zip(pdf["row"].tolist(), pdf["shingles"], strict=True):
+                x = np.frombuffer(raw, np.uint64)
+                n = len(x)
+                if len(last) and n:
+                    x = x[np.argsort(last[np.minimum(np.searchsorted(last, x), len(last) - 1)] == x, kind="stable")]
+                k = n - (4 * n + 4) // 5 + 1 if n else 0
+                out.append(np.stack([np.full(k, row), x[:k].view(np.int64), np.arange(k), np.full(k, n)], axis=1))
+            yield pd.DataFrame(np.concatenate(out), columns=["row", "token", "pos", "n"])
+
+    return sets.select("row", "shingles").mapInPandas(run, "row long, token long, pos long, n long")
+
+
+def _meeting(rows: np.ndarray) -> Iterator[pd.DataFrame]:
+    """(u, v) of rows (token, node, comp, pos, n) with one token, of different components, that can have the similarity."""
+    rows = rows[np.lexsort((rows[:, 4], rows[:, 0]))]
+    _, node, comp, pos, n = rows.T
+    bucket = np.cumsum(np.concatenate(([0], rows[1:, 0] != rows[:-1, 0])))[: len(rows)]
+    end = np.searchsorted((bucket << 36) + n, (bucket << 36) + 5 * n // 4, side="right")
+    size = end - np.arange(len(rows)) - 1
+    for i, j in slices(size, 1_000_000):
+        for a in range(0, int(size[i:j].max(initial=0)), 1_000_000):  # one row with many others: in steps
+            m = np.clip(size[i:j] - a, 0, 1_000_000)
+            u = np.repeat(np.arange(i, j), m)
+            v = u + 1 + a + np.arange(len(u)) - np.repeat(np.cumsum(m) - m, m)
+            # of the shared shingles no more than these stand before, at and after this one
+            most = np.minimum(pos[u], pos[v]) + np.minimum(n[u] - pos[u], n[v] - pos[v])
+            good = (comp[u] != comp[v]) & (9 * most >= 4 * (n[u] + n[v]))
+            x, y = node[u[good]], node[v[good]]
+            yield pd.DataFrame({"u": np.minimum(x, y), "v": np.maximum(x, y)}).drop_duplicates()
+
+
+def prefix_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(u, v): all pairs of nodes (row, node, comp) of different components whose sets (of ``rows``) can have the similarity."""
+    count = prefixes(rows, np.zeros(0, np.uint64)).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    often = count.where(F.col("c") > COMMON).orderBy(F.desc("c"), "token").limit(LAST).select("token").toPandas()["token"]
+    tokens = prefixes(rows, np.sort(often.to_numpy(np.int64).view(np.uint64)))
+    tokens = tokens.join(nodes, "row").select("token", "node", "comp", "pos", "n").repartition("token").sortWithinPartitions("token")
+
+    @trimmed
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros((0, 5), np.int64)
+        for pdf in batches:
+            held = np.concatenate([held, pdf.to_numpy(np.int64)])
+            last = int(np.searchsorted(held[:, 0], held[-1, 0])) if len(held) else 0  # the last token may go on
+            if last >= 100_000:
+                yield from _meeting(held[:last])
+                held = held[last:]
+        yield from _meeting(held)
+
+    return staged(tokens.mapInPandas(run, "u long, v long").distinct())
+
+
 def alike_pairs(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Those of the pairs (u, v) whose sets have a Jaccard index of 0.8 or more."""
     some = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
@@ -352,7 +417,10 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = staged(near_fingerprints(docs, id_col, text_col).withColumn("node", F.xxhash64("shingles")).withColumn("row", F.monotonically_increasing_id()))
     nodes = staged(rows.groupBy("node").agg(F.min(id_col).alias("low"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in words]))
     first = alike_pairs(staged(near_links(nodes).distinct()), rows, nodes)
-    return _labels(rows.select(id_col, "node"), nodes.select("node", "low"), first, id_col)
+    known = components(first).withColumnRenamed("node", "__n")
+    nodes_now = staged(nodes.join(known, F.col("__n") == F.col("node"), "left").select("row", "node", F.coalesce("root", "node").alias("comp")))
+    more = alike_pairs(prefix_pairs(rows, nodes_now), rows, nodes)
+    return _labels(rows.select(id_col, "node"), nodes.select("node", "low"), first.unionByName(more), id_col)
 
 
 def hexadecimal(fp: Column) -> Column:

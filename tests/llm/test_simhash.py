@@ -140,6 +140,20 @@ def components_of(spark, texts):
     return got, {i: low[g] for i, g in enumerate(groups)}
 
 
+def test_extended_and_shortened_copies_are_found(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"v{x}" for x in rng.integers(0, 1 << 40, n)]
+    licence = word(12)
+    texts = []
+    for _ in range(40):
+        base = word(int(rng.integers(40, 400))) + licence
+        n = len(base)
+        texts += [base, base + word(int(0.21 * n)), word(int(0.1 * n)) + base, base[: int(0.84 * n)], base[: int(0.7 * n)]]
+    monkeypatch.setattr(S, "COMMON", 20)
+    got, want = components_of(spark, [" ".join(t) for t in texts])
+    assert got == want
+
+
 def test_no_link_below_the_similarity(spark):
     rng = np.random.default_rng(10)
     texts = []
