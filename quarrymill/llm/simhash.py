@@ -332,30 +332,35 @@ def near_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def prefixes(sets: DataFrame, last: np.ndarray) -> DataFrame:
-    """(row, token, pos, n): the shingles of each set (row, shingles) that all sets alike share one of; ``last`` (sorted) end the order."""
+    """(row, token, pos, n, p0 to p3): the shingles of each set (row, shingles) that all sets alike share one of; ``last`` (sorted) end the order.
+
+    p0 to p3: 256 parities of the set; two sets differ in at least as many shingles as parities.
+    """
     shared = session(sets).sparkContext.broadcast(last)
 
     @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = shared.value
         for pdf in batches:
-            out = [np.zeros((0, 4), np.int64)]
+            out = [np.zeros((0, 8), np.int64)]
             for row, raw in zip(pdf["row"].tolist(), pdf["shingles"], strict=True):
                 x = np.frombuffer(raw, np.uint64)
                 n = len(x)
+                odd = np.packbits(np.bincount((x & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(np.int64)
                 if len(last) and n:
                     x = x[np.argsort(last[np.minimum(np.searchsorted(last, x), len(last) - 1)] == x, kind="stable")]
                 k = n - (4 * n + 4) // 5 + 1 if n else 0
-                out.append(np.stack([np.full(k, row), x[:k].view(np.int64), np.arange(k), np.full(k, n)], axis=1))
-            yield pd.DataFrame(np.concatenate(out), columns=["row", "token", "pos", "n"])
+                out.append(np.stack([np.full(k, row), x[:k].view(np.int64), np.arange(k), np.full(k, n), *np.repeat(odd[:, None], k, axis=1)], axis=1))
+            yield pd.DataFrame(np.concatenate(out), columns=["row", "token", "pos", "n", "p0", "p1", "p2", "p3"])
 
-    return sets.select("row", "shingles").mapInPandas(run, "row long, token long, pos long, n long")
+    return sets.select("row", "shingles").mapInPandas(run, "row long, token long, pos long, n long, p0 long, p1 long, p2 long, p3 long")
 
 
 def _meeting(rows: np.ndarray) -> Iterator[pd.DataFrame]:
-    """(u, v) of rows (token, node, comp, pos, n) with one token, of different components, that can have the similarity."""
+    """(u, v) of rows (token, node, comp, pos, n, parities) with one token, of different components, that can have the similarity."""
     rows = rows[np.lexsort((rows[:, 4], rows[:, 0]))]
-    _, node, comp, pos, n = rows.T
+    _, node, comp, pos, n = rows[:, :5].T
+    odd = np.ascontiguousarray(rows[:, 5:]).view(np.uint64)
     bucket = np.cumsum(np.concatenate(([0], rows[1:, 0] != rows[:-1, 0])))[: len(rows)]
     end = np.searchsorted((bucket << 36) + n, (bucket << 36) + 5 * n // 4, side="right")
     size = end - np.arange(len(rows)) - 1
@@ -367,6 +372,8 @@ def _meeting(rows: np.ndarray) -> Iterator[pd.DataFrame]:
             # of the shared shingles no more than these stand before, at and after this one
             most = np.minimum(pos[u], pos[v]) + np.minimum(n[u] - pos[u], n[v] - pos[v])
             good = (comp[u] != comp[v]) & (9 * most >= 4 * (n[u] + n[v]))
+            u, v = u[good], v[good]
+            good = 9 * np.bitwise_count(odd[u] ^ odd[v]).sum(axis=1, dtype=np.int64) <= n[u] + n[v]
             x, y = node[u[good]], node[v[good]]
             yield pd.DataFrame({"u": np.minimum(x, y), "v": np.maximum(x, y)}).drop_duplicates()
 
@@ -376,11 +383,11 @@ def prefix_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     count = prefixes(rows, np.zeros(0, np.uint64)).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
     often = count.where(F.col("c") > COMMON).orderBy(F.desc("c"), "token").limit(LAST).select("token").toPandas()["token"]
     tokens = prefixes(rows, np.sort(often.to_numpy(np.int64).view(np.uint64)))
-    tokens = tokens.join(nodes, "row").select("token", "node", "comp", "pos", "n").repartition("token").sortWithinPartitions("token")
+    tokens = tokens.join(nodes, "row").select("token", "node", "comp", "pos", "n", "p0", "p1", "p2", "p3").repartition("token").sortWithinPartitions("token")
 
     @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros((0, 5), np.int64)
+        held = np.zeros((0, 9), np.int64)
         for pdf in batches:
             held = np.concatenate([held, pdf.to_numpy(np.int64)])
             last = int(np.searchsorted(held[:, 0], held[-1, 0])) if len(held) else 0  # the last token may go on
