@@ -68,6 +68,7 @@ def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again: lineage ends there, lost executors cost nothing."""
     spark, path = session(df), shared_dir(session(df))
     df.write.parquet(path)
+    spark._jvm.System.gc()  # the driver's: Spark deletes shuffle files once the plans that wrote them are collected
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,11 +13,13 @@ Two forms:
 - ``classes``: 64-bit fingerprints of word shingles within 4 bits, exactly. Such a pair agrees in
   at least 2 of 6 blocks, so the keys are the 15 pairs of blocks.
 - ``near_classes``: texts whose sets of five-word shingles have a Jaccard index of 0.8 or more,
-  exactly. Every link is checked on the sets. Candidates come in two steps. Fingerprints go first,
-  so that a group of copies need not become all its pairs: 64-bit ones of the distinct words within
-  ``RADIUS`` bits under ``TABLES`` keys, and 256-bit ones of the shingles within ``ALIKE`` bits.
-  What these miss comes from prefixes: with all shingles in one order, sets of that similarity
-  share one of their first n - 0.8 n + 1. Those that many texts hold come last in it.
+  exactly. Every link is checked on the sets, made again from the texts of the pairs. Candidates
+  come in two steps. Fingerprints go first, so that a group of copies need not become all its
+  pairs: 64-bit ones of the distinct words within ``RADIUS`` bits under ``TABLES`` keys, and 256-bit
+  ones of the shingles within ``ALIKE`` bits; one such link a node is checked. What these miss
+  comes from prefixes: with all shingles in one order, sets of that similarity share one of their
+  first n - 0.8 n + 1, and as many as what follows these can't make up for. Shingles that many
+  texts hold come last in the order.
 
 Null text counts as empty: fingerprint zero, linked like any other. Rows with a null id take
 part in links; a component's id is its smallest non-null id. Repeated rows keep their rows.
@@ -45,6 +47,7 @@ FRONTIER = 250_000
 #: Of the near form: bits that word fingerprints may differ in, keys, and bits of the shingles' fingerprints.
 RADIUS, TABLES, ALIKE, NEAR_WIDTH = 12, 32, 51, 5
 #: Shingles in the prefixes of more rows than this come last in the order, the most frequent ``LAST`` of them.
+#: Both decide the work alone, not the links found.
 COMMON, LAST = 50, 1_000_000
 
 
@@ -209,11 +212,13 @@ def _leaves(forest: Forest, prints: np.ndarray, a: np.ndarray, b: np.ndarray, c:
         forest.add(u, v)
 
 
-def dealt(nodes: DataFrame, keys: list[Column], cols: list[str]) -> DataFrame:
-    """``cols`` of each node under each of its keys (column key), sorted by key in partitions; full buckets as pairs of parts."""
-    rows = nodes.select(*cols, F.explode(F.array(*keys)).alias("key"))
-    full = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BUCKET))
-    parts = F.coalesce(F.ceil(F.col("n") / F.lit(BUCKET // 2)), F.lit(1)).cast("int")
+def dealt(rows: DataFrame, cols: list[str]) -> DataFrame:
+    """``cols`` of rows that have a key, sorted by key in partitions; full buckets as pairs of parts.
+
+    Rows of one part of a full bucket meet in each pair that the part is in.
+    """
+    full = staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > BUCKET))
+    parts = F.coalesce(F.ceil(F.col("held") / F.lit(BUCKET // 2)), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64(cols[0]), F.col("parts")).cast("int")
     out = rows.join(full, "key", "left").withColumn("parts", parts).withColumn("own", own)
     out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -221,6 +226,11 @@ def dealt(nodes: DataFrame, keys: list[Column], cols: list[str]) -> DataFrame:
     return out.repartition("key").sortWithinPartitions("key")
 
 
+def keyed(nodes: DataFrame, keys: list[Column], cols: list[str]) -> DataFrame:
+    """``cols`` of each node under each of its keys (column key)."""
+    return nodes.select(*cols, F.explode(F.array(*keys)).alias("key"))
+
+
 def linked(rows: DataFrame, cols: list[str], budget: int, alike: int = 0) -> DataFrame:
     """(u, v): links of ``dealt`` rows. ``cols``: node, fingerprint, and words of the longer fingerprint if there is one."""
 
@@ -255,7 +265,7 @@ def links(nodes: DataFrame, budget: int = 4) -> DataFrame:
     block = lambda k: F.shiftrightunsigned("fp", at[k]).bitwiseAND(F.lit((1 << WIDTHS[k]) - 1))
     keys = [F.lit(n << 22).cast("long") + block(i) * F.lit(1 << 11) + block(j) for n, (i, j) in enumerate(combinations(range(len(WIDTHS)), 2))]
     nodes = nodes.select(F.col("fp").alias("node"), "fp")
-    return linked(dealt(nodes, keys, ["node", "fp"]), ["node", "fp"], budget)
+    return linked(dealt(keyed(nodes, keys, ["node", "fp"]), ["node", "fp"]), ["node", "fp"], budget)
 
 
 def near_links(nodes: DataFrame, tables: int = TABLES, radius: int = RADIUS, alike: int = ALIKE) -> DataFrame:
@@ -265,7 +275,7 @@ def near_links(nodes: DataFrame, tables: int = TABLES, radius: int = RADIUS, ali
     nibble = lambda k: F.shiftrightunsigned("fp", 4 * k).bitwiseAND(F.lit(15))
     keys = [sum((nibble(k) * F.lit(1 << 4 * i) for i, k in enumerate(b)), F.lit(n << 20).cast("long")) for n, b in enumerate(blocks)]
     cols = ["node", "fp", "s0", "s1", "s2", "s3"]
-    return linked(dealt(nodes, keys, cols), cols, radius, alike)
+    return linked(dealt(keyed(nodes, keys, cols), cols), cols, radius, alike)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -308,62 +318,84 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     return _labels(prints, nodes, links(nodes.withColumnRenamed("node", "fp"), budget), id_col).withColumnRenamed("node", "fp")
 
 
-def near_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
-    """``id_col``, fp of the distinct words, s0 to s3, the 256 bits of the shingles, and the sorted hashes of the distinct shingles."""
+def in_order(shingles: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The first shingles of a sorted set that all sets alike share one of; those of ``last`` (sorted) end the order."""
+    n = len(shingles)
+    if len(last) and n:
+        shingles = shingles[np.argsort(last[np.minimum(np.searchsorted(last, shingles), len(last) - 1)] == shingles, kind="stable")]
+    return shingles[: n - (4 * n + 4) // 5 + 1 if n else 0]
+
+
+def common_shingles(docs: DataFrame, text_col: str = "text", width: int = NEAR_WIDTH) -> np.ndarray:
+    """Shingles in the prefixes (by hash alone) of more than ``COMMON`` rows, sorted; the ``LAST`` most frequent of them."""
     session(docs)
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+    none = np.zeros(0, np.uint64)
+
+    @trimmed
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [in_order(np.unique(shingle_hashes(t, width)), none) for t in pdf["text"] if isinstance(t, str)]
+            token, n = np.unique(np.concatenate([none, *got]), return_counts=True)
+            yield pd.DataFrame({"token": token.view(np.int64), "n": n})
+
+    count = docs.select(F.col(text_col).alias("text")).mapInPandas(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("c"))
+    often = count.where(F.col("c") > COMMON).orderBy(F.desc("c"), "token").limit(LAST).select("token").toPandas()["token"]
+    return np.sort(often.to_numpy(np.int64).view(np.uint64))
+
+
+def near_fingerprints(docs: DataFrame, last: np.ndarray, id_col: str = "doc_id", text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
+    """``id_col``, h (hash of the text), node (of the set of its shingles), fp of the distinct words, s0 to s3, the 256 bits of the shingles, n of the set and its prefix."""
+    shared = session(docs).sparkContext.broadcast(last)
+    rows = docs.select(F.col(id_col), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
+    words = ["fp", "s0", "s1", "s2", "s3"]
 
     @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = shared.value
         for pdf in batches:
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
             out = np.zeros((len(texts), 5), np.uint64)
-            sets: list[bytes] = []
+            sets: list[tuple[int, int, bytes]] = []
             for i, j in slices(np.array([len(t) for t in texts], np.int64), 2 * BATCH_CHARS):
                 out[i:j, 0] = majority([word_hashes(t) for t in texts[i:j]])
                 h = [shingle_hashes(t, width) for t in texts[i:j]]
                 for k in range(4):
                     out[i:j, k + 1] = majority([spread(x, k) for x in h])
-                sets += [np.unique(x).tobytes() for x in h]
-            found = pd.DataFrame(out.view(np.int64), columns=["fp", "s0", "s1", "s2", "s3"]).assign(**{id_col: pdf[id_col].to_numpy(), "shingles": sets})
-            yield found[[id_col, "fp", "s0", "s1", "s2", "s3", "shingles"]]
-
-    return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, fp long, s0 long, s1 long, s2 long, s3 long, shingles binary")
+                for x in map(np.unique, h):
+                    sets.append((xxhash.xxh64_intdigest(x.tobytes(), SEED) - (1 << 63), len(x), in_order(x, last).tobytes()))
+            found = pd.DataFrame(out.view(np.int64), columns=words).assign(h=pdf["h"].to_numpy(), **{id_col: pdf[id_col].to_numpy()})
+            found["node"], found["n"], found["prefix"] = [np.array([x[0] for x in sets], np.int64), np.array([x[1] for x in sets], np.int32), [x[2] for x in sets]]
+            yield found[[id_col, "h", "node", *words, "n", "prefix"]]
 
+    return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, h long, node long, fp long, s0 long, s1 long, s2 long, s3 long, n int, prefix binary")
 
-def prefixes(sets: DataFrame, last: np.ndarray) -> DataFrame:
-    """(row, token, pos, n, p0 to p3): the shingles of each set (row, shingles) that all sets alike share one of; ``last`` (sorted) end the order.
 
-    p0 to p3: 256 parities of the set; two sets differ in at least as many shingles as parities.
-    """
-    shared = session(sets).sparkContext.broadcast(last)
+def tokens(nodes: DataFrame) -> DataFrame:
+    """(node, comp, n, pos, key): each shingle of the prefixes of ``nodes`` (node, comp, n, prefix) as a key."""
 
     @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = shared.value
         for pdf in batches:
-            out = [np.zeros((0, 8), np.int64)]
-            for row, raw in zip(pdf["row"].tolist(), pdf["shingles"], strict=True):
-                x = np.frombuffer(raw, np.uint64)
-                n = len(x)
-                odd = np.packbits(np.bincount((x & np.uint64(255)).astype(np.int64), minlength=256) & 1).view(np.int64)
-                if len(last) and n:
-                    x = x[np.argsort(last[np.minimum(np.searchsorted(last, x), len(last) - 1)] == x, kind="stable")]
-                k = n - (4 * n + 4) // 5 + 1 if n else 0
-                out.append(np.stack([np.full(k, row), x[:k].view(np.int64), np.arange(k), np.full(k, n), *np.repeat(odd[:, None], k, axis=1)], axis=1))
-            yield pd.DataFrame(np.concatenate(out), columns=["row", "token", "pos", "n", "p0", "p1", "p2", "p3"])
+            held = [np.frombuffer(x, np.int64) for x in pdf["prefix"]]
+            size = np.array([len(x) for x in held], np.int64)
+            pos = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            many = {c: np.repeat(pdf[c].to_numpy(), size) for c in ("node", "comp", "n")}
+            yield pd.DataFrame({**many, "pos": pos.astype(np.int32), "key": np.concatenate([np.zeros(0, np.int64), *held])})
 
-    return sets.select("row", "shingles").mapInPandas(run, "row long, token long, pos long, n long, p0 long, p1 long, p2 long, p3 long")
+    return nodes.select("node", "comp", "n", "prefix").mapInPandas(run, "node long, comp long, n int, pos int, key long")
 
 
 def _meeting(rows: np.ndarray) -> Iterator[pd.DataFrame]:
-    """(u, v) of rows (token, node, comp, pos, n, parities) with one token, of different components, that can have the similarity."""
-    rows = rows[np.lexsort((rows[:, 4], rows[:, 0]))]
-    _, node, comp, pos, n = rows[:, :5].T
-    odd = np.ascontiguousarray(rows[:, 5:]).view(np.uint64)
-    bucket = np.cumsum(np.concatenate(([0], rows[1:, 0] != rows[:-1, 0])))[: len(rows)]
+    """(u, v, c, need) of rows (key, node, comp, n, pos) of different components that can have the similarity.
+
+    c: how many keys they meet under; need: with fewer the shingles after both prefixes can't make up for it.
+    """
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 0]))]
+    key, node, comp, n, pos = rows.T
+    bucket = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))[: len(rows)]
     end = np.searchsorted((bucket << 36) + n, (bucket << 36) + 5 * n // 4, side="right")
     size = end - np.arange(len(rows)) - 1
+    rest = (4 * n + 4) // 5 - 1
     for i, j in slices(size, 1_000_000):
         for a in range(0, int(size[i:j].max(initial=0)), 1_000_000):  # one row with many others: in steps
             m = np.clip(size[i:j] - a, 0, 1_000_000)
@@ -373,36 +405,50 @@ def _meeting(rows: np.ndarray) -> Iterator[pd.DataFrame]:
             most = np.minimum(pos[u], pos[v]) + np.minimum(n[u] - pos[u], n[v] - pos[v])
             good = (comp[u] != comp[v]) & (9 * most >= 4 * (n[u] + n[v]))
             u, v = u[good], v[good]
-            good = 9 * np.bitwise_count(odd[u] ^ odd[v]).sum(axis=1, dtype=np.int64) <= n[u] + n[v]
-            x, y = node[u[good]], node[v[good]]
-            yield pd.DataFrame({"u": np.minimum(x, y), "v": np.maximum(x, y)}).drop_duplicates()
+            x, y = node[u], node[v]
+            need = -(-4 * (n[u] + n[v]) // 9) - np.maximum(rest[u], rest[v])
+            found = pd.DataFrame({"u": np.minimum(x, y), "v": np.maximum(x, y), "need": need})
+            yield found.groupby(["u", "v"], as_index=False).agg(c=("need", "size"), need=("need", "first"))[["u", "v", "c", "need"]]
 
 
-def prefix_pairs(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(u, v): all pairs of nodes (row, node, comp) of different components whose sets (of ``rows``) can have the similarity."""
-    count = prefixes(rows, np.zeros(0, np.uint64)).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
-    often = count.where(F.col("c") > COMMON).orderBy(F.desc("c"), "token").limit(LAST).select("token").toPandas()["token"]
-    tokens = prefixes(rows, np.sort(often.to_numpy(np.int64).view(np.uint64)))
-    tokens = tokens.join(nodes, "row").select("token", "node", "comp", "pos", "n", "p0", "p1", "p2", "p3").repartition("token").sortWithinPartitions("token")
+def prefix_pairs(nodes: DataFrame) -> DataFrame:
+    """(u, v): all pairs of ``nodes`` (node, comp, n, prefix) of different components whose sets can have the similarity."""
+    cols = ["node", "comp", "n", "pos"]
 
     @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = np.zeros((0, 9), np.int64)
+        held = np.zeros((0, 5), np.int64)
         for pdf in batches:
             held = np.concatenate([held, pdf.to_numpy(np.int64)])
-            last = int(np.searchsorted(held[:, 0], held[-1, 0])) if len(held) else 0  # the last token may go on
+            last = int(np.searchsorted(held[:, 0], held[-1, 0])) if len(held) else 0  # the last key may go on
             if last >= 100_000:
                 yield from _meeting(held[:last])
                 held = held[last:]
         yield from _meeting(held)
 
-    return staged(tokens.mapInPandas(run, "u long, v long").distinct())
+    met = dealt(tokens(nodes), cols).select("key", *cols).mapInPandas(run, "u long, v long, c long, need long")
+    return staged(met.groupBy("u", "v").agg(F.sum("c").alias("c"), F.max("need").alias("need")).where("c >= need").select("u", "v"))
 
 
-def alike_pairs(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, nodes: DataFrame, text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
+    """(node, shingles) of ``nodes`` (node, h): the sorted hashes of the distinct shingles of a text with the hash h."""
+    low = lambda c: F.col(c).bitwiseAND(F.lit((1 << 18) - 1))
+    some = nodes.select(low("h").alias("low")).distinct()  # 2 ** 18 rows at most
+    texts = docs.select(F.xxhash64(text_col).alias("h"), F.coalesce(text_col, F.lit("")).alias("text"))
+    texts = texts.withColumn("low", low("h")).join(F.broadcast(some), "low", "left_semi").drop("low").join(nodes.select("node", "h"), "h")
+
+    @trimmed
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"node": pdf["node"], "shingles": [np.unique(shingle_hashes(t, width)).tobytes() for t in pdf["text"]]})
+
+    return texts.select("node", "text").dropDuplicates(["node"]).mapInPandas(run, "node long, shingles binary")
+
+
+def alike_pairs(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str = "text") -> DataFrame:
     """Those of the pairs (u, v) whose sets have a Jaccard index of 0.8 or more."""
-    some = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = staged(rows.select("row", "shingles").join(nodes.join(some, "node", "left_semi").select("row", "node"), "row").select("node", "shingles"))
+    some = staged(nodes.select("node", "h").join(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi"))
+    sets = staged(shingle_sets(docs, some, text_col))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
 
     @trimmed
@@ -420,14 +466,17 @@ def alike_pairs(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFram
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, node (equal for equal sets of shingles) and component_id of every row."""
-    words = ["fp", "s0", "s1", "s2", "s3"]
-    rows = staged(near_fingerprints(docs, id_col, text_col).withColumn("node", F.xxhash64("shingles")).withColumn("row", F.monotonically_increasing_id()))
-    nodes = staged(rows.groupBy("node").agg(F.min(id_col).alias("low"), F.min("row").alias("row"), *[F.first(c).alias(c) for c in words]))
-    first = alike_pairs(staged(near_links(nodes).distinct()), rows, nodes)
+    prints = staged(near_fingerprints(docs, common_shingles(docs, text_col), id_col, text_col))
+    rows = prints.select(id_col, "node")
+    rest = [F.first(c).alias(c) for c in ("fp", "s0", "s1", "s2", "s3", "n", "prefix")]  # equal for equal sets
+    nodes = staged(prints.groupBy("node").agg(F.min(id_col).alias("low"), F.min("h").alias("h"), *rest))
+    # one link a node is checked first: most groups are known from then on, at the price of one set a node
+    one = staged(near_links(nodes).groupBy("v").agg(F.max("u").alias("u")).select("u", "v"))
+    first = alike_pairs(one, docs, nodes, text_col)
     known = components(first).withColumnRenamed("node", "__n")
-    nodes_now = staged(nodes.join(known, F.col("__n") == F.col("node"), "left").select("row", "node", F.coalesce("root", "node").alias("comp")))
-    more = alike_pairs(prefix_pairs(rows, nodes_now), rows, nodes)
-    return _labels(rows.select(id_col, "node"), nodes.select("node", "low"), first.unionByName(more), id_col)
+    now = staged(nodes.join(known, F.col("__n") == F.col("node"), "left").select("node", F.coalesce("root", "node").alias("comp"), "n", "prefix"))
+    more = alike_pairs(prefix_pairs(now), docs, nodes, text_col)
+    return _labels(rows, nodes.select("node", "low"), first.unionByName(more), id_col)
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -55,24 +55,12 @@ def test_near_copies(spark):
     base = " ".join(f"w{i}" for i in range(400))
     pairs = rows() + [(6000 + i, base.replace(f"w{i * 7} ", f"z{i} ")) for i in range(30)] + [(6100, " ".join(f"w{i}" for i in range(200)) + " v" * 200)]
     df = frame(spark, pairs)
-    prints = [r for r in S.near_fingerprints(df).collect()]
-    long = [sum((r[f"s{k}"] % (1 << 64)) << 64 * k for k in range(4)) for r in prints]
-    root = list(range(len(prints)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(prints)):
-        for j in range(i):
-            if (long[i] ^ long[j]).bit_count() <= S.ALIKE and ((prints[i]["fp"] ^ prints[j]["fp"]) % (1 << 64)).bit_count() <= S.RADIUS:
-                root[find(i)] = find(j)
+    comp = jaccard_groups([words_of(t) for _, t in pairs])
     low = {}
-    for k, r in enumerate(prints):
-        if r["doc_id"] is not None:
-            low[find(k)] = min(low.get(find(k), r["doc_id"]), r["doc_id"])
-    want = Counter((r["doc_id"], low.get(find(k))) for k, r in enumerate(prints))
+    for (i, _), c in zip(pairs, comp, strict=True):
+        if i is not None:
+            low[c] = min(low.get(c, i), i)
+    want = Counter((i, low.get(c)) for (i, _), c in zip(pairs, comp, strict=True))
     assert Counter((r["doc_id"], r["component_id"]) for r in S.near_classes(df).collect()) == want
     assert want[(6029, 6000)] and want[(6100, 6100)]
     kept = S.keep_one(df)
@@ -114,11 +102,14 @@ def test_full_buckets_are_dealt_out(spark, monkeypatch):
     assert len({r["root"] for r in found}) == len(set(groups([int(p) for p in prints]))) == 1 and len(found) == len(prints)
 
 
+def words_of(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", low)
+
+
 def jaccard_groups(texts, least=0.8):
-    sets = []
-    for t in texts:
-        w = t.split()
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    """Groups of word lists by the Jaccard index of their five-word shingles."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in texts]
     root = list(range(len(sets)))
 
     def find(i):
@@ -135,7 +126,7 @@ def jaccard_groups(texts, least=0.8):
 
 def components_of(spark, texts):
     got = {r["doc_id"]: r["component_id"] for r in S.near_classes(frame(spark, list(enumerate(texts)))).collect()}
-    groups = jaccard_groups(texts)
+    groups = jaccard_groups([words_of(t) for t in texts])
     low = {g: min(i for i, x in enumerate(groups) if x == g) for g in groups}
     return got, {i: low[g] for i, g in enumerate(groups)}
 
