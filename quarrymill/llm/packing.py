@@ -3,19 +3,25 @@
 Lengths are at most ``capacity``, so their histogram is small whatever the input, and the
 whole packing is decided on the driver from it:
 
-1. large lengths are sorted and cut into groups of equal cardinality; each is rounded up to
-   the largest of its group, which leaves few sizes;
-2. few-size configurations are optimised by column generation (a linear programme over
-   patterns, each new one the best knapsack at the current prices), and rounded down;
-3. actual pieces take the places of their group's size, which frees what rounding wasted;
-4. what is left, then the small pieces, go by falling length to the tightest open sequence
-   that holds them (best fit), in bulk.
+1. lengths over ``capacity`` / ``SMALL`` are large: sorted and cut into ``GROUPS`` groups of equal
+   cardinality, each rounded up to the largest of its group, which leaves few sizes;
+2. few-size configurations are optimised by column generation: a linear programme over
+   patterns, each new one the best knapsack at the current prices;
+3. actual pieces take the places: the longest left that a place holds, and in the last place of
+   a sequence the longest that still fits, which uses what rounding up left free. Patterns go as
+   often as the optimum says, rounded down, then once each until no large piece is left;
+4. the small pieces go by falling length to the tightest open sequence that holds them (best
+   fit), in bulk.
+
+Ranks of pieces of one length are interchangeable, so steps 3 and 4 deal in runs of ranks, not in
+pieces: their number depends on lengths and patterns alone.
 
 The result says for each length which ranks go where; pieces get their rank within their
 length in parallel (salted, so that a length with a third of all pieces is no hot key).
 
-Null text counts as empty: its one piece is the end id. Repeated rows are packed each. An
-empty table gives an empty result.
+Null text counts as empty: its one piece is the end id. Pieces of one length are ranked by id,
+piece and content within their salt; rows equal in all of these are packed each, in any order. A
+text is encoded whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +40,8 @@ from ._common import session, staged, trimmed
 from .tokens import encoder
 
 SALTS = 64
+#: Large is what exceeds this part of the capacity, and the number of groups of large lengths.
+SMALL, GROUPS = 4, 128
 
 
 @dataclass
@@ -70,87 +78,93 @@ def knapsack(sizes: list[int], prices: np.ndarray, capacity: int) -> np.ndarray:
     return used
 
 
-def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 2000) -> list[tuple[np.ndarray, int]]:
-    """Patterns and how many sequences take each: the linear optimum, rounded down."""
+def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 10_000) -> list[tuple[list[int], float]]:
+    """Patterns (sizes, falling) and how many sequences take each at the linear optimum."""
     n = len(sizes)
-    basis = np.diag([float(min(capacity // w, max(d, 1))) for w, d in zip(sizes, demand, strict=True)])
-    x = np.array(demand, float) / np.diag(basis)
-    for _ in range(rounds):
-        prices = np.linalg.solve(basis.T, np.ones(n))
+    fits = np.array([min(capacity // w, max(d, 1)) for w, d in zip(sizes, demand, strict=True)], float)
+    basis, inverse, x = np.diag(fits), np.diag(1 / fits), np.array(demand, float) / fits
+    for k in range(1, rounds + 1):
+        prices = inverse.sum(0)
         column = knapsack(sizes, prices, capacity).astype(float)
-        if prices @ column <= 1 + 1e-7:
+        if prices @ column <= 1 + 1e-6:
             break
-        step = np.linalg.solve(basis, column)
+        step = inverse @ column
         ratio = np.where(step > 1e-9, x / np.where(step > 1e-9, step, 1), np.inf)
         out = int(ratio.argmin())
         x = np.maximum(x - ratio[out] * step, 0)
-        x[out] = ratio[out]
-        basis[:, out] = column
-    return [(basis[:, i].astype(int), int(x[i] + 1e-6)) for i in range(n) if int(x[i] + 1e-6)]
-
-
-def solve(histogram: dict[int, int], capacity: int, groups: int = 64, small: int | None = None) -> list[Bins]:
-    """Sequences for ``histogram`` (pieces by length)."""
-    small = capacity // 8 if small is None else small
-    done = [Bins(histogram[capacity], 0, ((capacity, 0, 1),))] if histogram.get(capacity) else []
-    large = sorted((w for w, n in histogram.items() if small < w < capacity and n), reverse=True)
-    per = max(1, -(-sum(histogram[w] for w in large) // groups))
-    queues: list[list[list[int]]] = []  # of each group: runs of [length, first rank, pieces], the longest first
-    room = 0
-    for w in large:
-        first, n = 0, histogram[w]
+        x[out], basis[:, out] = ratio[out], column
+        row = inverse[out] / step[out]
+        inverse -= np.outer(step, row)
+        inverse[out] = row
+        if k % 200 == 0:  # against rounding errors
+            inverse = np.linalg.inv(basis)
+    return [(sorted((w for w, c in zip(sizes, basis[:, i].astype(int), strict=True) for _ in range(c)), reverse=True), float(x[i])) for i in range(n) if x[i] > 1e-6]
+
+
+def rounded(histogram: dict[int, int], lengths: list[int], groups: int) -> dict[int, int]:
+    """How many of ``lengths`` (falling) each size stands for: the largest of each of ``groups`` groups of equal cardinality."""
+    per = max(1, -(-sum(histogram[w] for w in lengths) // groups))
+    out: dict[int, int] = {}
+    room = size = 0
+    for w in lengths:
+        n = histogram[w]
         while n:
             if not room:
-                queues.append([])
-                room = per
+                size, room = w, per
             take = min(n, room)
-            queues[-1].append([w, first, take])
-            first, n, room = first + take, n - take, room - take
-    merged: dict[int, list[list[int]]] = {}
-    for q in queues:
-        merged.setdefault(q[0][0], []).extend(q)
-    sizes = list(merged)
-    bins: list[Bins] = []
-    for pattern, m in configurations(sizes, [sum(r[2] for r in merged[w]) for w in sizes], capacity) if sizes else []:
-        slots = [w for w, k in zip(sizes, pattern, strict=True) for _ in range(k)]
-        # the linear programme may cover more than there is
-        m = min([m, *(sum(r[2] for r in merged[w]) // slots.count(w) for w in set(slots))])
-        if not m:
-            continue
-        runs = [_take(merged[w], m) for w in slots]
-        while m:
-            n = min(r[0][2] for r in runs)
-            held = tuple((r[0][0], r[0][1], 1) for r in runs)
-            bins.append(Bins(n, capacity - sum(h[0] for h in held), held))
-            m -= n
-            for r in runs:
-                _take(r, n)
-    rest = [tuple(r) for q in merged.values() for r in q if r[2]]
-    rest += [(w, 0, n) for w, n in histogram.items() if w <= small and n]
-    return done + best_fit(bins, rest, capacity)
+            out[size] = out.get(size, 0) + take
+            n, room = n - take, room - take
+    return out
 
 
-#: What counts as large, as parts of the capacity: the fewer pieces are rounded, the more are left to best fit.
-LARGE = (2, 3, 4, 8)
+class Places:
+    """Sequences filled by patterns with the pieces that are left."""
 
+    def __init__(self, histogram: dict[int, int], lengths: list[int], capacity: int):
+        self.left, self.next = np.zeros(capacity + 1, np.int64), np.zeros(capacity + 1, np.int64)
+        self.left[lengths] = [histogram[w] for w in lengths]
+        self.capacity, self.bins = capacity, []
 
-def solve_best(histogram: dict[int, int], capacity: int, groups: int = 64) -> list[Bins]:
-    """The packing with the fewest sequences over the bounds of ``LARGE``."""
-    return min((solve(histogram, capacity, groups, capacity // q) for q in LARGE), key=lambda bins: sum(b.count for b in bins))
+    def longest(self, room: int, used: dict[int, int]) -> int:
+        """The longest piece left, beside those ``used``, of at most ``room``; 0 if there is none."""
+        for w in np.flatnonzero(self.left[: room + 1])[::-1].tolist():
+            if self.left[w] > used.get(w, 0):
+                return w
+        return 0
 
+    def fill(self, pattern: list[int], m: int) -> None:
+        """``m`` sequences by the pattern; places for which nothing is left stay free."""
+        while m:
+            used: dict[int, int] = {}
+            free = self.capacity
+            for k, size in enumerate(pattern):
+                if w := self.longest(free if k == len(pattern) - 1 else min(free, size), used):
+                    used[w], free = used.get(w, 0) + 1, free - w
+            if not used:
+                return
+            n = min(m, *(int(self.left[w]) // k for w, k in used.items()))
+            self.bins.append(Bins(n, free, tuple((w, int(self.next[w]), k) for w, k in used.items())))
+            for w, k in used.items():
+                self.next[w] += n * k
+                self.left[w] -= n * k
+            m -= n
 
-def _take(queue: list[list[int]], n: int) -> list[list[int]]:
-    """Removes the first n pieces of a queue of runs."""
-    out = []
-    while n:
-        w, first, have = queue[0]
-        take = min(have, n)
-        out.append([w, first, take])
-        queue[0] = [w, first + take, have - take]
-        if have == take:
-            queue.pop(0)
-        n -= take
-    return out
+
+def solve(histogram: dict[int, int], capacity: int, groups: int = GROUPS, small: int | None = None) -> list[Bins]:
+    """Sequences for ``histogram`` (pieces by length); pieces of at most ``small`` are small."""
+    small = capacity // SMALL if small is None else small
+    done = [Bins(histogram[capacity], 0, ((capacity, 0, 1),))] if histogram.get(capacity) else []
+    large = sorted((w for w, n in histogram.items() if small < w < capacity and n), reverse=True)
+    demand = rounded(histogram, large, groups)
+    patterns = sorted(configurations(list(demand), list(demand.values()), capacity), reverse=True) if demand else []
+    places = Places(histogram, large, capacity)
+    for pattern, x in patterns:
+        places.fill(pattern, int(x + 1e-6))
+    for pattern, _ in sorted(patterns, key=lambda p: -(p[1] % 1)):
+        places.fill(pattern, 1)
+    rest = [(w, int(places.next[w]), int(places.left[w])) for w in np.flatnonzero(places.left).tolist()]  # by rounding errors alone
+    rest += [(w, 0, n) for w, n in histogram.items() if w <= small and n]
+    return done + best_fit(places.bins, rest, capacity)
 
 
 def best_fit(bins: list[Bins], runs: list[tuple[int, int, int]], capacity: int) -> list[Bins]:
@@ -224,13 +238,13 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, id_col: str = "doc_i
     return rows.mapInPandas(cut, f"`{id_col}` {dict(rows.dtypes)[id_col]}, piece int, start long, length long, ids_crc32 long")
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", groups: int = 64) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, id_col: str = "doc_id", text_col: str = "text", groups: int = GROUPS) -> DataFrame:
     """The pieces with sequence_id and offset."""
     salt = F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(SALTS)).cast("int")
     rows = staged(pieces(docs, vocabulary, capacity, id_col, text_col)).withColumn("salt", salt)
     counts = rows.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))  # capacity * SALTS rows at most
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    shared = session(docs).sparkContext.broadcast(lookup(solve_best(histogram, capacity, groups)))
+    shared = session(docs).sparkContext.broadcast(lookup(solve(histogram, capacity, groups)))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("length", "salt").orderBy(id_col, "piece", "ids_crc32")

@@ -62,6 +62,17 @@ def test_packing_is_exact(spark):
     assert P.pack(frame(spark, []), V).count() == 0
 
 
+def sequences(histogram, capacity, bins):
+    """Tokens in each sequence, by the place of every rank."""
+    t = P.lookup(bins)
+    seen = Counter()
+    for w, n in histogram.items():
+        for r in range(n):
+            i = int(np.searchsorted(t["key"], w << 44 | r, side="right")) - 1
+            seen[int(t["sequence"][i] + (r - t["first"][i]) // t["k"][i])] += w
+    return seen
+
+
 def test_configurations_reach_the_optimum():
     # 3 of 300 and 2 of 500 fill 1000 only as 500+500 and 300+300+300
     found = P.solve({300: 300, 500: 200}, 1000, groups=5, small=100)
@@ -71,16 +82,31 @@ def test_configurations_reach_the_optimum():
     rng = np.random.default_rng(0)
     for _ in range(20):
         h = Counter(rng.integers(1, 101, rng.integers(1, 300)).tolist())
-        bins = P.solve_best(dict(h), 100, groups=8)
-        t = P.lookup(bins)
-        seen = Counter()
-        for w, n in h.items():
-            for r in range(n):
-                i = int(np.searchsorted(t["key"], w << 44 | r, side="right")) - 1
-                seen[int(t["sequence"][i] + (r - t["first"][i]) // t["k"][i])] += w
+        bins = P.solve(dict(h), 100, groups=8)
+        seen = sequences(h, 100, bins)
         assert max(seen.values()) <= 100 and len(seen) == sum(b.count for b in bins)
 
 
+def test_grouping_beats_best_fit():
+    # 510+260+230 and 270+270+230+230 fill 1000; by falling length 510+270 goes first, and nothing fits well any more
+    h = {510: 600, 270: 600, 260: 600, 230: 1200}
+    best_fit = P.best_fit([], [(w, 0, n) for w, n in h.items()], 1000)
+    assert sum(b.count for b in best_fit) >= 1090
+    found = P.solve(h, 1000, groups=30, small=100)
+    assert sum(b.count for b in found) == len(sequences(h, 1000, found)) == 900
+
+
+def test_sequences_are_near_the_bound():
+    rng = np.random.default_rng(3)
+    for n in (1200, 12_000):
+        lengths = np.minimum(rng.lognormal(6.6, 0.8, n).astype(int) + 1, 2048)
+        h = {int(w): int(c) for w, c in zip(*np.unique(lengths, return_counts=True), strict=True)}
+        assert len(P.rounded(h, sorted((w for w in h if 512 < w < 2048), reverse=True), P.GROUPS)) > 100
+        found = P.solve(h, 2048)
+        several = sum(b.count for b in found if sum(k for w, _, k in b.held if w > 512) > 1)
+        assert sum(b.count for b in found) <= max(1.001 * lengths.sum() / 2048, lengths.sum() / 2048 + 2) and several > n / 10
+
+
 def test_records_round_trip(spark):
     pairs = rows() + MORE
     out = shared_dir(spark)

@@ -46,7 +46,7 @@ def test_stages(spark, tmp_path):
     hist = {}
     for r in got:
         hist[r["length"]] = hist.get(r["length"], 0) + 1
-    assert len({r["sequence_id"] for r in got}) == sum(b.count for b in packing.solve_best(hist, 2048))
+    assert len({r["sequence_id"] for r in got}) == sum(b.count for b in packing.solve(hist, 2048))
 
 
 def test_empty_corpus(spark, tmp_path):
