@@ -41,23 +41,151 @@ def test_base_score_is_exact(spark, monkeypatch):
     by_id = {r["doc_id"]: r for r in got}
     assert by_id[7]["bits_per_byte"] < 6
     assert M.score(frame(spark, []), F.lit(True)).count() == 0
-    assert all(abs(r["bits_per_byte"] - 8) < 0.5 for r in M.score(frame(spark, pairs), F.lit(False)).collect())
+    # without training: a bit each for white space of one space (else 4), for end or escape, and for the bits of spelled bytes
+    for r in M.score(frame(spark, pairs), F.lit(False)).collect():
+        text = next(t for i, t in pairs if i == r["doc_id"]) if r["doc_id"] not in {pairs[5][0], None} else None
+        if text is not None:
+            want = sum(1 + (1 if gap == " " else 4 if gap in GAPS else 4 + (len(gap) + 1) * math.log2(7)) + (8 * len(word.encode()) + 8 if word else 0) for gap, word in units(text))
+            assert abs(r["score"] + want * math.log10(2)) < 1e-3 * (1 + want)
 
 
-def test_probabilities_sum_to_one():
-    counts = np.random.default_rng(2).integers(0, 9, (len(M.ORDERS), 2 * M.SLOTS)).astype(float)
-    model = M.Model(counts, [(b"abc", 3), (b"xyz", 1)])
-    first = np.array([[a, 97] for a in range(256)], np.uint8).ravel()
-    symbols = first[0::2].astype(np.uint32)
+GAPS = {" ": 0, "\n": 1, "": 2, "\n\n": 3, "  ": 4, "\t": 5, "\r\n": 6}
+
+
+def units(text):
+    """(white space, word) of a text, the end's word is empty."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    out = re.findall(r"([\x20\x09-\x0D]*)([^\x20\x09-\x0D]+)", low)
+    return [*out, (low[len("".join(g + w for g, w in out)) :], "")]
+
+
+def trained(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = M.word_counts(df)
+    counts = Counter(w for t in texts for w in tokens(t))
+    return M.train(df, words, sum(counts.values()), counts[""]), counts
+
+
+def cost_by_hand(m, counts, text):
+    """Bits of a text under a model, unit by unit and bit by bit."""
+    top = sorted((w for w, n in counts.items() if w and n > 1), key=lambda w: (-counts[w], w.encode()))[: M.CODED]
+    rank = {"": 0} | {w: k + 1 for k, w in enumerate(top)}
+    escape = len(top) + 1
+    bits = 0.0
+
+    def slot(k, context, node):
+        h = (context * 0x9E3779B1 & 0xFFFFFFFF) ^ ((node + (k << 27)) * 0x85EBCA6B & 0xFFFFFFFF)
+        h ^= h >> 15
+        return (h * 0xC2B2AE35 & 0xFFFFFFFF) >> 12
+
+    def price(which, contexts, node, phase, place, bit):
+        z = 0.0
+        for k in which:
+            s = slot(k, contexts[k], node)
+            z += float(m.weights[k][phase * M.CONFIDENCE + int(m.gates[k][s])]) * float(m.logits[k][s])
+        step = max(-16, min(16, round(z * 2))) + 16
+        p = 0.5 / (1 + math.exp(-max(-12, min(12, z)))) + 0.5 * float(m.refined[place][step])
+        return -math.log2(p if bit else 1 - p)
+
+    near = far = skip = None
+    shape = 128
+    for gap, word in units(text):
+        raw = word.encode()
+        kind, r = GAPS.get(gap, 7), rank.get(word, escape)
+        one, two, three = (2557 if near is None else near), (317 if far is None else far[0]), (2557 if skip is None else skip)
+        before = 317 if far is None or far[1] is None else far[1]
+        early = [0, one, two * 512 + before, three, shape * 8]
+        late = [*early[:4], shape * 8 + kind]
+        prefix = [int(kind != 0)] + ([kind >> 2 & 1, kind >> 1 & 1, kind & 1] if kind else [])
+        for j, bit in enumerate(prefix):
+            bits += price([1, 3, 4], early, 1 if not j else 8 | kind >> (4 - j) | 16 << j, 0, j, bit)
+        if kind == 7:
+            bits += (len(gap) + 1) * math.log2(7)
+        n, code = int(m.book.sizes[r]), int(m.book.codes[r])
+        for j in range(n):
+            which = [k for k, reach in enumerate(M.REACH) if j < reach]
+            bits += price(which, late, (1 << j | code >> (n - j)) + 256, 1 if j < 6 else 2 if j < 8 else 3, 4 + min(j, 27), code >> (n - j - 1) & 1)
+        if r == escape:
+            data = np.frombuffer(raw + b" ", np.uint8)
+            bits += float(m.spelling.cost(data, np.zeros(1, np.int64), np.array([len(raw)]))[0])
+        tail = raw[-1] if raw else 0
+        tails = tail + 256 * (raw[-2] if len(raw) > 1 else 0)
+        skip = near
+        near = r if r < M.NEAR else M.NEAR + tails * 0x9E37 % 509
+        far = (r if r < M.FAR else M.FAR + tail % 61, None if far is None else far[0])
+        shape = min(len(raw), 15) + 16 * kind
+    return bits
+
+
+def sentences(rng, n):
+    """Texts in which each word allows only a few next ones."""
+    vocab = [f"w{i}x" for i in range(60)]
+    out = []
+    for _ in range(n):
+        w = [int(rng.integers(60))]
+        for _ in range(120):
+            w.append((w[-1] * 7 + int(rng.integers(3))) % 60)
+        out.append(" ".join(vocab[x] for x in w))
+    return out
+
+
+def test_score_matches_a_scorer_by_hand(spark):
+    rng = np.random.default_rng(8)
+    texts = sentences(rng, 40) + [t for _, t in rows() if t]
+    m, counts = trained(spark, texts)
+    tests = ["", " ", "W1x w7x", "w1x  w7x\n\nw49x\t\r\n neverseen w1x \n ", texts[0][:200], "é日本 w3x", rows()[1][1], rows()[4][1]]
+    for t in tests:
+        raw = M.lower(t)
+        got = m.cost(np.frombuffer(raw + b"\n", np.uint8), np.zeros(1, np.int64))[0][0]
+        want = cost_by_hand(m, counts, t)
+        assert abs(got - want) < 1e-3 * (1 + want), t
+    joined = [M.lower(t) for t in tests]
+    begin = np.cumsum([0, *[len(t) + 1 for t in joined]])[:-1]
+    together = m.cost(np.frombuffer(b"\n".join(joined) + b"\n", np.uint8), begin)[0]
+    assert np.allclose(together, [m.cost(np.frombuffer(t + b"\n", np.uint8), np.zeros(1, np.int64))[0][0] for t in joined], rtol=1e-4)
+
+
+def test_order_of_words_matters(spark):
+    rng = np.random.default_rng(5)
+    m, counts = trained(spark, sentences(rng, 150))
+    known = sum(counts.values())
+
+    def bits(texts):
+        raw = [M.lower(t) for t in texts]
+        return float(m.cost(np.frombuffer(b"\n".join(raw) + b"\n", np.uint8), np.cumsum([0, *[len(t) + 1 for t in raw]])[:-1])[0].sum())
+
+    held = sentences(rng, 20)
+    mixed = [" ".join(rng.permutation(t.split())) for t in held]
+    words = sum(-math.log2((counts[w] + 1) / (known + len(counts) + 1)) for t in held for w in tokens(t))
+    assert bits(held) < 0.8 * words < 0.95 * bits(mixed)
+
+
+def test_probabilities_sum_to_one(spark):
+    rng = np.random.default_rng(6)
+    m, _ = trained(spark, sentences(rng, 60))
+    # of all codes after the same word and white space
+    total = 0.0
+    for r in range(len(m.book.codes)):
+        data = np.frombuffer(b"w5x w7x\n", np.uint8)
+        u = M.Units(m.book, data, np.zeros(1, np.int64))
+        u.rank[1] = r
+        bits = 0.0
+        for at, phase, place, bit, which, slots in u.steps(m.book, 1, 2):
+            if phase and len(at):
+                z = sum(m.weights[k, phase * M.CONFIDENCE + int(m.gates[k][s[0]])] * m.logits[k][s[0]] for k, s in zip(which, slots, strict=True))
+                bits += float(M._price(np.array([z]), m.refined[place][M._step(np.array([z]))], bit)[0])
+        total += 2.0**-bits
+    assert abs(total - 1) < 1e-4
+    # of all bytes after the same start of a spelled word
     total = 0.0
-    for s in range(256):
+    for c in range(256):
+        symbols = np.array([97, c], np.uint32)
         bits = 0.0
-        for node, bit, slots in M.steps(np.array([s], np.uint32), np.zeros(1, np.int64)):
-            z = sum(t[x] for t, x in zip(model.tables, slots, strict=True))
-            p = 0.5 / (1 + np.exp(-np.clip(z, -12, 12))) + 0.5 * model.refined[node, M._step(z)]
-            bits -= np.log2(p if bit[0] else 1 - p)[0]
-        total += 2.0 ** -float(bits)
-    assert len(symbols) == 256 and abs(total - 1) < 1e-4
+        for node, bit, slots in M.steps(symbols, np.arange(2)):
+            z = sum(t[x[1:]] for t, x in zip(m.spelling.tables, slots, strict=True))
+            bits += float(M._price(z, m.spelling.refined[node[1:], M._step(z)], bit[1:])[0])
+        total += 2.0**-bits
+    assert abs(total - 1) < 1e-4
 
 
 def test_languages_and_spans(spark):
