@@ -39,6 +39,12 @@ def test_policies_and_ablation(spark):
     assert base == hand
     ab = {r["rule"]: (r["failed"], r["only_this"]) for r in R.ablation(led, "base").collect()}
     assert ab["few_words"][0] == sum(rules_by_hand(t)[0] < 50 for _, t in rows())
+    fails = [r["failures"] for r in led.collect()]
+    for version, names in R.POLICIES.items():
+        mask = sum(1 << R.BITS[x] for x in names)
+        assert led.where(R.rejected(F.col("failures"), version)).count() == sum(f & mask != 0 for f in fails)
+        want = {x: (sum(f >> R.BITS[x] & 1 for f in fails), sum(f & mask == 1 << R.BITS[x] for f in fails)) for x in names}
+        assert {r["rule"]: (r["failed"], r["only_this"]) for r in R.ablation(led, version).collect()} == {x: n for x, n in want.items() if n[0]}
     assert R.ledger(frame(spark, [])).count() == 0
 
 
@@ -60,6 +66,38 @@ SECRETS = [
 ]
 
 
+ORDINARY = """/usr/local/lib/python3/dist-packages/numpy aaaaaaaaaaaaaaaaaaaaaaaa 1234567890123456 4111-1111-1111-1111 +4915123456789012 =================
+getUserNameFromRequest HttpServletRequestWrapper DEFAULT_MAX_CONNECTIONS_PER_HOST 20240131-235959-000123 node_modules/react-dom/client x86_64-unknown-linux-gnu
+application/octet-stream internationalization Donaudampfschifffahrtsgesellschaft abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789
+com/example/project/MainActivity XMLHttpRequestEventTarget 6fa459ea-ee8a-3ca4-894e-db77e160355e abababababababababab commit-and-push-to-origin-master""".split()
+
+
+def keys(rng):
+    """Generated keys: base 62, base 64, its form for addresses, and capitals with digits."""
+    import base64
+    import string
+
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    return [f() for _ in range(60) for f in (lambda: pick(string.ascii_letters + string.digits, rng.randint(20, 40)), lambda: base64.b64encode(rng.randbytes(24)).decode(), lambda: base64.urlsafe_b64encode(rng.randbytes(24)).decode(), lambda: pick(string.ascii_uppercase + string.digits, 24))]
+
+
+def test_added_spans_are_keys_and_nothing_ordinary(spark):
+    import random
+
+    rng = random.Random(1)
+    made = keys(rng)
+    numbers = ["".join(rng.choice("0123456789") for _ in range(rng.randint(16, 40))) for _ in range(100)]
+    pairs = [(i, f"see {t} here") for i, t in enumerate(made + ORDINARY + numbers)]
+    table = S.train(S.default_samples(frame(spark), "doc_id", "text"))
+    got = {r["doc_id"]: r["spans"] for r in S.digest(S.scan(frame(spark, pairs), table)).collect()}
+    assert sum(f"random:4:{4 + len(t)}" in got[i] for i, t in enumerate(made)) >= 0.95 * len(made)
+    assert not any("random" in got[i] for i in range(len(made), len(pairs)))
+    hand = lambda t: sum(table[(ord(a) - S.FIRST) * S.CODES + ord(b) - S.FIRST] for a, b in zip(t, t[1:], strict=False))
+    for i, t in enumerate(made + ORDINARY + numbers):
+        if not base_by_hand(t):
+            assert ("random" in got[i]) == (hand(t) >= max(S.MIN_RATIO, S.MIN_MEAN * (len(t) - 1)))
+
+
 def test_spans_match_brute_force(spark):
     pairs = rows() + [(3000 + i, t) for i, t in enumerate(SECRETS)] + [(4000, " ".join(SECRETS * 40)), (4001, SECRETS[0])]
     df = frame(spark, pairs)
