@@ -2,11 +2,16 @@
 
 Hashed word and character n-gram vectors are averaged per document and fed to a softmax
 output; vectors and output weights are trained together by numpy stochastic gradient
-descent on a bounded sample of labelled rows (``max_train_docs``). Since the average and
-the output layer are linear, scoring gathers one logit per feature bucket.
-
-Null texts count as empty; an empty text gets the score of the output bias. With labels of
-one class only, or none, every score is 0.5 plus the bias learned (0.5 without labels).
+descent on a bounded sample of labelled rows (``max_train_docs``), by the gradient of the averaged
+softmax. Pairs of words are counted where a word follows itself, all in one bucket of their own:
+hashed one by one, pairs of unseen words would say nothing. Since the average and the output layer
+are linear, scoring gathers one logit per feature bucket.
+
+Null texts count as empty; an empty text gets the score of the output bias. Very long texts are
+taken in pieces that begin at words. With labels of one class only, or none, every score is 0.5
+plus the bias learned (0.5 without labels). An id with several labels takes the least; of rows
+that share an id the text with the smallest hash trains. Repeated rows are each scored. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,8 +28,14 @@ from pyspark.sql import types as T
 from ._common import bounded_sample, code_points, session, slices, trimmed
 
 BUCKETS = 1 << 17
-#: The bucket of a word that repeats the one before it.
-REPEAT = 0
+#: The bucket of words that repeat the one before them; no other feature falls into it.
+REPEAT = BUCKETS
+#: Characters of a text that are worked on at once.
+PIECE = 1_000_000
+
+
+#: Rates of the vectors and of the bias, over that of the output weights.
+EMBED, BIAS = 20.0, 0.1
 
 
 def buckets(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -67,6 +78,25 @@ def buckets(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(out).astype(np.int64), np.concatenate(at), np.concatenate(long)
 
 
+def pieces(points: np.ndarray) -> Iterator[np.ndarray]:
+    """The feature buckets of one text, ``PIECE`` characters or a little more at a time; together those of the whole."""
+    if len(points) <= PIECE:
+        yield buckets(points)[0]
+        return
+    space = (points == 32) | ((points >= 9) & (points <= 13))
+    words = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))  # where words start
+    a = 0
+    while a < len(points):
+        k = int(np.searchsorted(words, a + PIECE))
+        b = int(words[k]) if k < len(words) else len(points)
+        # what starts before b may reach into the next word, or four characters on
+        reach = np.append(words[k + 1 : k + 7], len(points))
+        stop = int(reach[min(5, len(reach) - 1)])
+        h, at, _ = buckets(points[a:stop])
+        yield h[at < b - a]
+        a = b
+
+
 class Model:
     """The document logit is ``logit[buckets].mean() + bias``: embeddings times the softmax weights' difference."""
 
@@ -74,14 +104,17 @@ class Model:
         self.logit, self.bias = logit.astype(np.float32), float(bias)
 
 
-def train(samples: list[tuple[int, np.ndarray, np.ndarray]], dim: int = 16, epochs: int = 8, rate: float = 0.2, seed: int = 1) -> Model:
-    """SGD over (label, buckets, counts), one document a step, with a linearly falling rate; classes weigh equally."""
+def train(samples: list[tuple[int, np.ndarray, np.ndarray]], dim: int = 16, epochs: int = 8, rate: float = 1.0, seed: int = 1) -> Model:
+    """SGD over (label, buckets, counts), one document a step, with a linearly falling rate; classes weigh equally.
+
+    A feature's share of its document is small, so vectors move at ``EMBED`` times the rate of the output.
+    """
     rng = np.random.default_rng(seed)
-    embed = ((rng.random((BUCKETS, dim)) - 0.5) / dim).astype(np.float32)
+    embed = ((rng.random((BUCKETS + 1, dim)) - 0.5) / dim).astype(np.float32)
     weight, bias = rng.normal(0, 0.1, (2, dim)), np.zeros(2)
     share = np.bincount([y for y, _, _ in samples], minlength=2) / max(len(samples), 1)
     if not samples or share.min() == 0:
-        return Model(np.zeros(BUCKETS), 0.0)
+        return Model(np.zeros(BUCKETS + 1), 0.0)
     step, steps = 0, epochs * len(samples)
     for _ in range(epochs):
         for i in rng.permutation(len(samples)):
@@ -97,9 +130,9 @@ def train(samples: list[tuple[int, np.ndarray, np.ndarray]], dim: int = 16, epoc
             p *= 0.5 / share[y]
             back = p @ weight
             weight -= lr * np.outer(p, mean)
-            bias -= lr * 0.1 * p
+            bias -= lr * BIAS * p
             if len(idx):
-                embed[idx] -= (lr * back).astype(np.float32)  # each feature of the text once, so the mean moves by the whole step
+                embed[idx] -= np.outer(w, lr * EMBED * back).astype(np.float32)
     return Model(embed @ (weight[1] - weight[0]), bias[1] - bias[0])
 
 
@@ -110,15 +143,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     known = marked.join(texts.select("id"), "id", "left_semi")
     ids = bounded_sample(known, "id", ["y"], max_train_docs)
-    sample = texts.join(F.broadcast(ids), "id").dropDuplicates(["id"])
+    sample = texts.join(F.broadcast(ids), "id").groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
 
     @trimmed
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for key, y, t in zip(pdf["id"], pdf["y"], pdf["text"], strict=True):
-                h, _, _ = buckets(code_points([t if isinstance(t, str) else ""])[0])
-                idx, n = np.unique(h, return_counts=True)
+                total = np.zeros(BUCKETS + 1, np.int64)
+                for h in pieces(code_points([t if isinstance(t, str) else ""])[0]):
+                    total += np.bincount(h, minlength=BUCKETS + 1)
+                idx = np.flatnonzero(total)
+                n = total[idx]
                 out.append((key, y, idx.astype(np.uint32).tobytes(), n.astype(np.uint32).tobytes()))
             yield pd.DataFrame(out, columns=["id", "y", "idx", "n"])
 
@@ -139,6 +175,10 @@ def _probabilities(texts: list[str | None], m: Model) -> np.ndarray:
     z = np.full(len(texts), m.bias)
     for i, j in slices(np.array([len(t) for t in texts], np.int64)):
         points, starts = code_points(texts[i:j])
+        if len(points) > PIECE:  # one long text
+            sums = [(float(m.logit[h].sum(dtype=np.float64)), len(h)) for h in pieces(points)]
+            z[i] += sum(x for x, _ in sums) / max(sum(n for _, n in sums), 1)
+            continue
         h, at, long = buckets(points)
         # a feature that reaches into the next text belongs to neither
         doc = np.searchsorted(starts, at, side="right") - 1

@@ -201,6 +201,8 @@ def test_languages_and_spans(spark):
     assert [s["lang"] for s in last[4]["spans"]] == ["en", "fr"] and abs(last[4]["spans"][1]["start"] - len(en) - 2) < 12
     assert len(got) == len(pairs) and all(0 <= r["score"] <= 1 for r in got)
     assert next(r for r in got if r["doc_id"] == 1000)["lang_pred"] == "und"
+    assert last[6]["score"] == 0 and all(last[i]["score"] > 0.9 for i in (1, 2, 3))
+    assert L.identify(frame(spark, [(1, "\U00030000\U00030001 x")]), model).first()["lang_pred"] != "und"
     assert L.identify(frame(spark, []), model).count() == 0
     none = L.fit(frame(spark, []), "doc_id", "text", "lang")
     assert {r["lang_pred"] for r in L.identify(frame(spark), none).collect()} == {"und"}
@@ -231,3 +233,59 @@ def test_quality_scores(spark):
     again = Q.score(frame(spark, test).repartition(7), model).collect()
     assert Counter((r["doc_id"], round(r["score"], 5)) for r in got) == Counter((r["doc_id"], round(r["score"], 5)) for r in again)
     assert {r["score"] for r in Q.score(frame(spark), Q.fit(frame(spark), labels.limit(0))).collect()} == {0.5}
+    assert Q.score(frame(spark, []), model).count() == 0
+    # an id with several rows and labels trains alike whatever their order
+    twice = pairs + [(i, t + " more") for i, t in pairs[:9]]
+    odd = labels.unionByName(spark.createDataFrame([(i, 0) for i in range(5)], "doc_id long, quality int"))
+    one, two = Q.fit(frame(spark, twice), odd), Q.fit(frame(spark, twice[::-1]).repartition(5), odd.repartition(3))
+    assert np.array_equal(one.logit, two.logit) and one.bias == two.bias
+    # the mean of the features' logits, by hand
+    for text, r in zip([t for _, t in test[:3]], got[:3], strict=True):
+        h = Q.buckets(np.array([*map(ord, text), 10], np.uint32))[0]
+        assert abs(r["score"] - 1 / (1 + np.exp(-(model.logit[h].astype(float).mean() + model.bias)))) < 1e-5
+
+
+def test_pieces_of_a_long_text_give_its_features(monkeypatch):
+    rng = np.random.default_rng(1)
+    p = rng.choice(np.array([32, 32, 97, 98, 99, 10, 300]), 20_000).astype(np.uint32)
+    p[5000:9000], p[-1] = 97, 10
+    want = np.bincount(Q.buckets(p)[0], minlength=Q.BUCKETS + 1)
+    for size in (50, 777, 5000):
+        monkeypatch.setattr(Q, "PIECE", size)
+        assert (sum(np.bincount(h, minlength=Q.BUCKETS + 1) for h in Q.pieces(p)) == want).all()
+
+
+def test_training_follows_the_gradient():
+    """A step moves vectors and weights against the gradient of the averaged softmax's loss, measured by differences."""
+    samples = [(1, np.array([3, 5, 8]), np.array([2, 1, 1])), (0, np.array([5, 9]), np.array([1, 3]))]
+    dim, seed = 4, 5
+    made = np.random.default_rng(seed)
+    embed = (made.random((Q.BUCKETS + 1, dim)) - 0.5) / dim
+    weight, bias = made.normal(0, 0.1, (2, dim)), np.zeros(2)
+    steps = 0
+    for _ in range(3):
+        for i in made.permutation(2):
+            y, idx, n = samples[i]
+            lr = 0.5 * (1 - steps / 6)
+            steps += 1
+
+            def loss(e, w, b, y=y, idx=idx, n=n):
+                z = w @ ((n / n.sum()) @ e) + b
+                return (np.log(np.exp(z).sum()) - z[y]) * 0.5 / 0.5
+
+            def slope(f, x, h=1e-5):
+                out = np.zeros_like(x)
+                for k in np.ndindex(x.shape):
+                    up, down = x.copy(), x.copy()
+                    up[k] += h
+                    down[k] -= h
+                    out[k] = (f(up) - f(down)) / (2 * h)
+                return out
+
+            own = embed[idx].copy()
+            de, dw, db = slope(lambda e: loss(e, weight, bias), own), slope(lambda w: loss(own, w, bias), weight), slope(lambda b: loss(own, weight, b), bias)  # noqa: B023
+            embed[idx] -= lr * Q.EMBED * de
+            weight, bias = weight - lr * dw, bias - lr * Q.BIAS * db
+    model = Q.train(samples, dim=dim, epochs=3, rate=0.5, seed=seed)
+    want = embed @ (weight[1] - weight[0])
+    assert np.allclose(model.logit, want, atol=1e-3) and abs(model.bias - (bias[1] - bias[0])) < 1e-4
