@@ -5,8 +5,10 @@ each word a score per candidate, and Viterbi over the words with a switching pen
 spans. The model is fitted on a bounded sample of labelled rows (``max_train_docs``);
 every whole text is labelled.
 
-Null text or text without a letter: ``und``, score 0, no spans. Empty tables give empty
-results; without any labelled row every text is ``und``.
+Null text or text without a letter: ``und``, score 0, no spans. A text in a script that no language
+was seen in gets the nearest language with score 0. Languages of equal share: the first in
+alphabetic order. Repeated rows are each labelled, and each learned from if they are in the sample.
+Empty tables give empty results; without any labelled row every text is ``und``.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ SCRIPT_RANGES = [
     (0x3190, "other"), (0x3400, "han"), (0xA000, "other"), (0xA720, "latin"), (0xA800, "other"),
     (0xAC00, "hangul"), (0xD800, "other"), (0xF900, "han"), (0xFB00, "latin"), (0xFB13, "other"),
     (0xFB1D, "hebrew"), (0xFB50, "arabic"), (0xFE00, "other"), (0xFF21, "latin"), (0xFF66, "kana"),
-    (0xFFA0, "hangul"), (0x10000, "other"), (0x20000, "han"), (0x30000, "other"),
+    (0xFFA0, "hangul"), (0x10000, "other"), (0x20000, "han"), (0x323B0, "other"),
 ]
 SCRIPTS = sorted({s for _, s in SCRIPT_RANGES})
 _TABLE: list[np.ndarray] = []
@@ -44,7 +46,7 @@ _TABLE: list[np.ndarray] = []
 def script_table() -> np.ndarray:
     """For each code point: 0 if it is no letter or mark, else 1 + its script."""
     if not _TABLE:
-        n = 0x30000
+        n = 0x323B0  # past the last letters
         letters = np.fromiter((unicodedata.category(chr(c))[0] in "LM" for c in range(n)), bool, n)
         at = np.searchsorted([a for a, _ in SCRIPT_RANGES], np.arange(n), side="right") - 1
         ids = np.array([1 + SCRIPTS.index(s) for _, s in SCRIPT_RANGES], np.uint8)[at]
@@ -87,6 +89,7 @@ class Model:
         share = scripts / np.maximum(scripts.sum(1, keepdims=True), 1) if len(langs) else scripts
         allowed = (share > rare).T
         self.banned = (~allowed & allowed.any(1, keepdims=True)).astype(np.float32) * -1e4
+        self.known = allowed
 
 
 def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_train_docs: int = 8192) -> Model:
@@ -162,7 +165,7 @@ def label_words(scores: np.ndarray, penalty: float) -> np.ndarray:
 
 
 def label_text(points: np.ndarray, starts: np.ndarray, model: Model, penalty: float) -> list[tuple[str, float, list[tuple[str, int, int]]]]:
-    """Per text: language, its share of the letters, and spans (language, start, end) in code points."""
+    """Per text: language, its share of the letters (those in scripts it was seen in), and spans (language, start, end) in code points."""
     at, h, first, script = features(points)
     n = len(starts) - 1
     if not len(at) or not model.langs:
@@ -180,9 +183,10 @@ def label_text(points: np.ndarray, starts: np.ndarray, model: Model, penalty: fl
         path = label_words(scores[a:b], penalty)
         letters = np.bincount(path, weights=length[a:b], minlength=len(model.langs))
         top = int(letters.argmax())
+        own = float(length[a:b][(path == top) & model.known[script[a:b], top]].sum())  # in scripts that the language was seen in
         cut = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1, [b - a]))
         spans = [(model.langs[path[x]], int(begin[a + x] - starts[d]), int(end[a + y - 1] - starts[d])) for x, y in zip(cut[:-1], cut[1:], strict=True)]
-        out.append((model.langs[top], float(letters[top] / letters.sum()), spans))
+        out.append((model.langs[top], own / float(letters.sum()), spans))
     return out
 
 
