@@ -41,7 +41,7 @@ from .tokens import encoder
 
 SALTS = 64
 #: Large is what exceeds this part of the capacity, and the number of groups of large lengths.
-SMALL, GROUPS = 4, 128
+SMALL, GROUPS = 3, 128
 
 
 @dataclass
@@ -88,7 +88,7 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
         column = knapsack(sizes, prices, capacity).astype(float)
         if prices @ column <= 1 + 1e-6:
             break
-        step = inverse @ column
+        step = (inverse * column).sum(1)
         ratio = np.where(step > 1e-9, x / np.where(step > 1e-9, step, 1), np.inf)
         out = int(ratio.argmin())
         x = np.maximum(x - ratio[out] * step, 0)
@@ -96,8 +96,8 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
         row = inverse[out] / step[out]
         inverse -= np.outer(step, row)
         inverse[out] = row
-        if k % 200 == 0:  # against rounding errors
-            inverse = np.linalg.inv(basis)
+        if k % 200 == 0:  # a Newton step against rounding errors; no threads of a linear algebra library run on the driver
+            inverse = 2 * inverse - np.einsum("ij,jk->ik", inverse, np.einsum("ij,jk->ik", basis, inverse))
     return [(sorted((w for w, c in zip(sizes, basis[:, i].astype(int), strict=True) for _ in range(c)), reverse=True), float(x[i])) for i in range(n) if x[i] > 1e-6]
 
 
