@@ -10,9 +10,13 @@ FUNDER_PREFIX = "10.13039/"
 
 
 def strip_trailing(x: Column) -> Column:
-    """Punctuation, then quotes and brackets, off the end and the start."""
-    bare = F.regexp_replace(x, r"[.,;:)\\\]}>]+$", "")
-    return F.regexp_replace(bare, r"""^["'<(\[]+|["'>)\]]+$""", "")
+    """Punctuation, quotes and closing brackets off the end."""
+    return F.regexp_replace(x, r"""[.,;:)\\\]}>"']+$""", "")
+
+
+def is_doi_part(x: Column) -> Column:
+    """Whether a text is a DOI and nothing else, whatever the case of its suffix."""
+    return x.rlike(r"(?i)^10\.\d{4,9}/\S+$")
 
 
 def doi_of(x: Column) -> Column:
@@ -24,9 +28,16 @@ def doi_of(x: Column) -> Column:
     return F.when(article != "", F.concat(F.lit("10.7554/eLife."), article)).when(deposit != "", F.concat(F.lit("10.5281/zenodo."), deposit)).when(found != "", found)
 
 
-def all_dois(x: Column) -> Column:
-    """Every DOI in a text, once each, in order."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(x, F.lit(f"({DOI})"), F.lit(1)), strip_trailing))
+def all_dois(x: Column, strict: bool = False) -> Column:
+    """Every DOI in a text, once each: of article pages, deposit pages, resolver links, after ``doi:``, then bare ones; ``strict`` leaves the bare ones out."""
+    every = lambda p: F.regexp_extract_all(x, F.lit(p), F.lit(1))
+    pages = F.concat(
+        F.transform(every(r"(?i)elifesciences\.org/articles/(\d+)"), lambda n: F.concat(F.lit("10.7554/eLife."), n)),
+        F.transform(every(r"(?i)zenodo\.org/records?/(\d+)"), lambda n: F.concat(F.lit("10.5281/zenodo."), n)),
+    )
+    parts = [every(r"(?i)https?://(?:dx\.)?doi\.org/([^?\s#<>]+)"), every(r"""(?i)doi:\s*(10\.\d{4,9}/[^\s"<>)\];:,]+)""")]
+    parts += [] if strict else [every(rf"(?i)({DOI})")]
+    return F.array_distinct(F.concat(pages, F.filter(F.transform(F.concat(*parts), strip_trailing), is_doi_part)))
 
 
 def is_doi(x: Column) -> Column:
@@ -71,6 +82,7 @@ def deposit_id(uri: Column, others: Column) -> Column:
     bare = F.split_part(x, F.lit("?"), F.lit(1))
     after = lambda v, mark: F.trim(F.element_at(F.split(v, mark), -1))
     record = F.regexp_extract(bare, r"/record/([^/]+)", 1)
+    dryad = F.regexp_extract(bare, r"/dataset/([^/]+)", 1)
     figure = F.regexp_extract(bare, r"/articles/[^/]+/([^/]+)", 1)
     return (
         F.when(x.contains("doi.org"), after(bare, r"doi\.org/"))
@@ -79,6 +91,7 @@ def deposit_id(uri: Column, others: Column) -> Column:
         .when(x.contains("doi:"), after(x, "doi:"))
         .when(x.contains("data.jrc.ec.europa.eu") | x.contains("/geonetwork"), after(bare, "/"))
         .when(x.contains("figshare.com") & (figure != ""), F.concat(F.lit("10.6084/m9.figshare."), figure))
+        .when(x.contains("datadryad.org") & (dryad != ""), F.concat(F.lit("10.5061/dryad."), dryad))
         .otherwise(x)
     )
 
@@ -100,10 +113,11 @@ def record_key(x: Column) -> Column:
     return F.split_part(F.element_at(F.split(x, "items/"), -1), F.lit("_"), F.lit(1))
 
 
-#: Landing-page hosts and the repository of each; the first that occurs in the host wins.
+# Marks of landing-page hosts and the repository of each; the first that occurs in the host wins.
 REPOSITORIES = [
-    ("zenodo.org", "zenodo"), ("datadryad.org", "dryad"), ("pangaea.de", "pangaea"), ("dataverse", "dataverse"), ("sciencedirect.com", "sciencedirect"), ("springer.com", "springer"),
-    ("wiley.com", "wiley"), ("acs.org", "acs"), ("rsc.org", "rsc"), ("nature.com", "nature"), ("pnas.org", "pnas"), ("dspace", "dspace"),
+    ("zenodo.org", "zenodo"), ("dataverse", "dataverse"), ("recherche.data.gouv.fr", "dataverse"), ("datadryad.org", "dryad"), ("onlinelibrary.wiley.com", "wiley"),
+    ("link.springer.com", "springer"), ("sciencedirect.com", "sciencedirect"), ("elsevier.com", "sciencedirect"), ("pubs.acs.org", "acs"), ("pubs.rsc.org", "rsc"),
+    ("nature.com", "nature"), ("pnas.org", "pnas"), ("pangaea.de", "pangaea"), ("handle.net", "dspace"), ("dspace", "dspace"),
 ]
 
 
@@ -119,24 +133,6 @@ def repository(url: Column, rules: list[tuple[str, str]] | None = None) -> Colum
     return out.otherwise("unknown")
 
 
-def files_of(url: Column) -> Column:
-    """Direct file links that follow from a landing page's own address; an empty array where the address lacks the mark."""
-    part = lambda p: F.regexp_extract(url, p, 1)
-    link = lambda mark, *parts: F.when(mark != "", F.array(F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])))
-    doi, item, article = part(r"/(10\.\d{4,9}/[^?#]+)"), part(r"/pii/([A-Z0-9]+)"), part(r"/articles/([^/?#]+)")
-    by = repository(url)
-    none = F.array().cast("array<string>")
-    chosen = (
-        F.when(by == "wiley", link(doi, "https://onlinelibrary.wiley.com/doi/pdf/", doi))
-        .when(by == "springer", link(doi, "https://link.springer.com/content/pdf/", doi, ".pdf"))
-        .when(by == "acs", link(doi, "https://pubs.acs.org/doi/pdf/", doi))
-        .when(by == "pnas", link(doi, "https://www.pnas.org/doi/pdf/", doi))
-        .when(by == "nature", link(article, "https://www.nature.com/articles/", article, ".pdf"))
-        .when(by == "sciencedirect", link(item, "https://www.sciencedirect.com/science/article/pii/", item, "/pdfft"))
-    )
-    return F.coalesce(chosen, none)
-
-
 def page_links(html: Column, words: list[str]) -> Column:
     """Link targets of a page that contain any of ``words``, once each, in order."""
     hrefs = F.regexp_extract_all(html, F.lit(r"""href\s*=\s*["']([^"']+)["']"""), F.lit(1))

@@ -57,10 +57,9 @@ def split_places(text: Column) -> Column:
 
 
 def scope_votes(values: Column) -> Column:
-    """struct(for, against) of scope tags; for-values hide the others."""
+    """struct(for, against) of scope tags, each once in order."""
     low = F.array_distinct(F.transform(F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: v.isNotNull() & (F.trim(v) != "")), lambda v: F.lower(F.trim(v))))
-    yes = F.array_intersect(low, _array(SCOPE_FOR))
-    return F.struct(yes.alias("for"), F.when(F.size(yes) > 0, F.array().cast("array<string>")).otherwise(low).alias("against"))
+    return F.struct(F.array_intersect(low, _array(SCOPE_FOR)).alias("for"), F.array_except(low, _array(SCOPE_FOR)).alias("against"))
 
 
 def _pattern(terms: list[str], word: str) -> str:

@@ -39,8 +39,12 @@ def mentions(title: Column, abstract: Column, words: Column, part: str) -> Colum
     return has(title) | has(abstract) | F.exists(words, has)
 
 
+# The codelist of scopes, and vocabularies whose keywords are places.
+SCOPE_VOCABULARY = "spatial scope"
+PLACE_VOCABULARIES = ["country", "region", "continents, countries, sea regions of the world.", "continents, countries and sea regions of the world."]
+
+
 def route(vocabulary: Column, kind: Column) -> Column:
     """The band of a keyword group: scope tags first, then place keywords, else dropped."""
-    scope = F.lower(F.coalesce(vocabulary, F.lit(""))).contains("spatial scope")
-    place = (F.lower(F.coalesce(kind, F.lit(""))) == "place") | (F.lower(F.coalesce(vocabulary, F.lit(""))) == "country")
-    return F.when(scope, "scope_tag").when(place, "place_keyword").otherwise("dropped")
+    norm = lambda x: F.lower(F.trim(F.coalesce(x, F.lit(""))))
+    return F.when(norm(vocabulary) == SCOPE_VOCABULARY, "scope_tag").when((norm(kind) == "place") | norm(vocabulary).isin(PLACE_VOCABULARIES), "place_keyword").otherwise("dropped")

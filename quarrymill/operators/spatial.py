@@ -126,8 +126,9 @@ def verdict(tier: Column, vote: Column) -> Column:
 
 
 def agreement(*votes: Column) -> Column:
-    said = F.array_distinct(F.filter(F.array(*votes), lambda v: v != "silent"))
-    return F.when(F.size(said) == 0, "").when(F.size(said) == 1, "agree").otherwise("disagree")
+    """Whether the votes that aren't silent are alike; empty where fewer than two are."""
+    said = F.filter(F.array(*votes), lambda v: v != "silent")
+    return F.when(F.size(said) < 2, "").when(F.size(F.array_distinct(said)) == 1, "agree").otherwise("disagree")
 
 
 def national(area: Column, country: Column, part: float = 7.5) -> Column:

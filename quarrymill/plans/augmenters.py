@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import downloads as D
 from ..functions import identifiers as I  # noqa: E741
 from ..functions.text import label_key, present
 from ..operators import ledger as L
@@ -40,7 +41,7 @@ def files(records: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
     pages = records.withColumn("doi", I.doi_of(F.col("identifier"))).where("doi IS NOT NULL").select(F.col("identifier").alias("record_id"), "doi").join(cache, "doi", "left")
     found = I.page_links(F.coalesce("body", F.lit("")), ["download", "bitstream", ".pdf", ".zip", ".csv"])
     joined = F.transform(found, lambda x: I.join_url(F.col("url"), x))
-    links = F.array_distinct(F.concat(I.files_of(F.coalesce("url", F.lit(""))), joined))
+    links = F.array_distinct(F.concat(D.files_of(F.coalesce("url", F.lit(""))), joined))
     code = F.when(F.col("status").isNull(), "pending").when(F.col("status") == 200, "success").otherwise("error")
     return pages.where("status = 200").select("record_id", F.explode(links).alias("file_url")), pages.select("record_id", code.alias("status"))
 

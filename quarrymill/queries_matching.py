@@ -221,7 +221,7 @@ def places_in_text(spark: SparkSession, sf: str) -> DataFrame:
     from .functions.places import scan
 
     m = F.col("s_suppkey") % 4
-    text = F.when(m == 0, "Soils of the U.K. and Germany, Austria¹⁰").when(m == 1, "Global Soil Erosion and Global Warming Potential").when(m == 2, "europeanised Germanys, global warming")
+    text = F.when(m == 0, "Soils of the U.K. and Germany, Austria¹⁰").when(m == 1, "Global peat atlas under global warming").when(m == 2, "europeanised Germanys, global warming")
     return table(spark, sf, "supplier").select("s_suppkey", scan(text).alias("p")).select("s_suppkey", "p.countries", "p.broad")
 
 
@@ -316,3 +316,63 @@ def keyphrases(spark: SparkSession, sf: str) -> DataFrame:
 
     words = F.filter(F.split(F.lower("text"), r"[ ,.!;:]+"), lambda w: w != "")
     return tfidf(table(spark, sf, "conversations"), ["conv_id", "turn"], words)
+
+
+#: Landing pages made from parts: host, path and what the links of each should be, by SQL.
+_PAGES = """pages_made AS (SELECT p_partkey AS id, CASE p_partkey % 9 WHEN 0 THEN 'https://onlinelibrary.wiley.com/doi/10.1002/' || p_size WHEN 1 THEN 'https://LINK.springer.com/article/10.1007/s' || p_size
+  WHEN 2 THEN 'http://www.sciencedirect.com/science/article/pii/S' || p_partkey || '?via=x' WHEN 3 THEN 'https://pubs.acs.org/doi/10.1021/' || p_size WHEN 4 THEN 'https://pubs.rsc.org/en/content/articlelanding/2020/' || p_size
+  WHEN 5 THEN 'https://www.nature.com/articles/n' || p_size WHEN 6 THEN 'https://www.pnas.org/doi/abs/' || p_size WHEN 7 THEN 'https://entrepot.recherche.data.gouv.fr/dataset.xhtml?persistentId=doi:10.5/' || p_size
+  ELSE 'https://zenodo.org/records/' || p_partkey || '/' END AS url FROM part)"""
+
+
+@query(f"""
+WITH {_PAGES}, m AS (SELECT *, regexp_extract(url, '^([a-z]+://[^/]*)', 1) AS root, lower(regexp_extract(url, '^[a-z]+://([^/]*)', 1)) AS host FROM pages_made)
+SELECT id, CASE WHEN host LIKE '%wiley%' THEN ['https://agupubs.onlinelibrary.wiley.com/doi/pdf/' || split_part(url, '/doi/', 2)] WHEN host LIKE '%springer%' THEN [root || '/content/pdf/' || split_part(url, '/article/', 2) || '.pdf']
+  WHEN host LIKE '%sciencedirect%' THEN [root || '/science/article/pii/' || regexp_extract(url, '/pii/([A-Z0-9]+)', 1) || '/pdfft'] WHEN host LIKE '%acs.org' OR host LIKE '%pnas.org' THEN [root || '/doi/pdf/' || split_part(url, '/doi/', 2)]
+  WHEN host LIKE '%rsc.org' THEN [replace(url, '/articlelanding/', '/articlepdf/')] WHEN host LIKE '%nature.com' THEN [root || '/articles/' || split_part(url, '/articles/', 2) || '.pdf'] ELSE [] END AS files,
+  CASE WHEN host LIKE '%zenodo%' THEN 'https://zenodo.org/api/records/' || regexp_extract(url, '([0-9]+)/$', 1) WHEN host LIKE '%gouv.fr' THEN split_part(url, '/dataset', 1) || '/api/datasets/:persistentId/?persistentId=' || split_part(url, 'persistentId=', 2) END AS answer FROM m
+""")
+def files_of_addresses(spark: SparkSession, sf: str) -> DataFrame:
+    from .functions.downloads import answer_address, files_of
+
+    k, size, key = F.col("p_partkey") % 9, F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
+    url = (
+        F.when(k == 0, F.concat(F.lit("https://onlinelibrary.wiley.com/doi/10.1002/"), size)).when(k == 1, F.concat(F.lit("https://LINK.springer.com/article/10.1007/s"), size))
+        .when(k == 2, F.concat(F.lit("http://www.sciencedirect.com/science/article/pii/S"), key, F.lit("?via=x"))).when(k == 3, F.concat(F.lit("https://pubs.acs.org/doi/10.1021/"), size))
+        .when(k == 4, F.concat(F.lit("https://pubs.rsc.org/en/content/articlelanding/2020/"), size)).when(k == 5, F.concat(F.lit("https://www.nature.com/articles/n"), size))
+        .when(k == 6, F.concat(F.lit("https://www.pnas.org/doi/abs/"), size)).when(k == 7, F.concat(F.lit("https://entrepot.recherche.data.gouv.fr/dataset.xhtml?persistentId=doi:10.5/"), size))
+        .otherwise(F.concat(F.lit("https://zenodo.org/records/"), key, F.lit("/")))
+    )
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), files_of(url).alias("files"), answer_address(url).alias("answer"))
+
+
+@query("""
+WITH d AS (SELECT c_custkey AS id, 'see https://doi.org/10.1234/' || lower(replace(c_name, '#', '.')) || ', doi:10.5555/x' || c_nationkey || '; or 10.4321/ab(' || c_nationkey || ').' || CASE WHEN c_custkey % 3 = 0 THEN ' https://zenodo.org/record/' || c_custkey ELSE '' END AS t FROM customer)
+SELECT id, list_concat(CASE WHEN t LIKE '%zenodo%' THEN ['10.5281/zenodo.' || regexp_extract(t, 'record/([0-9]+)', 1)] ELSE [] END,
+  list_transform(list_filter(string_split(t, ' '), lambda w: regexp_matches(w, '10[.][0-9]{4}/')), lambda w: regexp_replace(regexp_replace(w, '^.*?(10[.][0-9]{4}/)', '\\1'), '[.,;:)]+$', ''))) AS dois FROM d
+""")
+def dois_in_text(spark: SparkSession, sf: str) -> DataFrame:
+    from .functions.identifiers import all_dois
+
+    key = F.col("c_custkey").cast("string")
+    name = F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit(".")))
+    nation = F.col("c_nationkey").cast("string")
+    text = F.concat(F.lit("see https://doi.org/10.1234/"), name, F.lit(", doi:10.5555/x"), nation, F.lit("; or 10.4321/ab("), nation, F.lit(")."), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit(" https://zenodo.org/record/"), key)).otherwise(F.lit("")))
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), all_dois(text).alias("dois"))
+
+
+@query("""
+WITH h AS (SELECT page_id, url, html FROM pages), m AS (SELECT page_id, 'https://files.example/' || page_id || '.pdf' AS pdf, 'https://data.example/' || page_id AS data FROM h)
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN [pdf] WHEN 1 THEN [data || '.csv', data || '.zip'] WHEN 2 THEN [data || '.csv'] ELSE [] END AS files FROM m
+""")
+def declared_files_of_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages with what publishers declare put in front of them: a tag, lists and single objects of JSON-LD, or damaged JSON."""
+    from .functions.downloads import declared_files
+
+    k, key = F.col("page_id") % 4, F.col("page_id").cast("string")
+    ld = lambda x: F.concat(F.lit('<script type="application/ld+json">'), x, F.lit("</script>"))
+    pdf = F.concat(F.lit("<META content='https://files.example/"), key, F.lit(""".pdf' name="citation_pdf_url">"""))
+    many = ld(F.concat(F.lit('[{"@type":"Thing"},{"distribution":[{"contentUrl":"https://data.example/'), key, F.lit('.csv"},{"downloadUrl":"https://data.example/'), key, F.lit('.zip"},"x"]}]')))
+    one = F.concat(ld(F.concat(F.lit('{"distribution":[{"contentUrl":"https://data.example/'), key, F.lit('.csv"}]}'))), ld(F.lit('{"distribution":[{"contentUrl":')))
+    head = F.when(k == 0, F.concat(pdf, one)).when(k == 1, many).when(k == 2, one).otherwise(ld(F.lit('{"distribution":{"contentUrl":"y"}}')))
+    return table(spark, sf, "pages").select("page_id", declared_files(F.concat(head, F.col("html"))).alias("files"))

@@ -93,7 +93,7 @@ a AS (SELECT *, CASE WHEN concrete0 = 3 OR countries0 >= 3 THEN 3 WHEN countries
 b AS (SELECT *, greatest(t1, t2) AS tier, CASE WHEN greatest(t1, t2) = 0 THEN 'silent' WHEN greatest(t1, t2) = 2 THEN 'against' ELSE 'for' END AS terms_vote FROM a)
 SELECT id, tier AS text_tier, bbox_vote, terms_vote,
   CASE tier WHEN 3 THEN TRUE WHEN 2 THEN FALSE WHEN 1 THEN bbox_vote <> 'against' ELSE bbox_vote = 'for' END AS is_multi_country_eu,
-  CASE WHEN terms_vote = 'silent' THEN 'agree' WHEN terms_vote = bbox_vote THEN 'agree' ELSE 'disagree' END AS agree FROM b
+  CASE WHEN terms_vote = 'silent' THEN '' WHEN terms_vote = bbox_vote THEN 'agree' ELSE 'disagree' END AS agree FROM b
 """)
 def multi_country_verdict(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("id")
@@ -165,3 +165,46 @@ def metadata_keywords(spark: SparkSession, sf: str) -> DataFrame:
     doc = F.to_json(F.struct(F.struct(F.struct(F.struct(F.array(group, second).alias("keywords")).alias("g")).alias("keywords"), k.alias("rights")).alias("identification")))
     rows = table(spark, sf, "events").select("event_id", D.parse(doc).alias("m"))
     return rows.select("event_id", F.col("m.identification.rights").alias("k"), D.is_open_data(D.keywords(F.col("m"))).alias("open_data"), D.mentions(F.lit("t"), F.lit(None).cast("string"), D.keywords(F.col("m")), "soil").alias("soil"))
+
+
+_EUROPE = "['FRANCE', 'GERMANY', 'ROMANIA', 'RUSSIA', 'UNITED KINGDOM']"
+
+
+@query(f"""
+WITH i AS (SELECT c_custkey AS id, lower(a.n_name) AS n1, lower(b.n_name) AS n2, c_mktsegment AS seg, lower(trim(CASE c_custkey % 6 WHEN 0 THEN 'EEA39' WHEN 1 THEN ' Europe ' WHEN 2 THEN 'National' WHEN 3 THEN 'European' ELSE 'Atlantis' END)) AS extra,
+  list_transform({_EUROPE}, lambda v: lower(v)) AS eu, CASE c_custkey % 5 WHEN 0 THEN 'multi_country_eu' WHEN 1 THEN 'single_country_eu' WHEN 2 THEN 'non_european' WHEN 3 THEN 'invalid' END AS label,
+  c_custkey % 4 = 0 AS warm FROM customer JOIN nation a ON c_nationkey = a.n_nationkey JOIN nation b ON b.n_nationkey = c_custkey % 25),
+k AS (SELECT *, list_distinct([n1, n2, extra]) AS kw, list_sort(list_distinct(list_filter([n1, n2], lambda v: list_contains(eu, v)))) AS places, list_contains(eu, n1) AS titled, list_contains(eu, n2) AS described FROM i),
+b AS (SELECT *, seg = 'AUTOMOBILE' AS scope, seg IN ('BUILDING', 'FURNITURE', 'HOUSEHOLD') AS placed, extra = 'european' AS wide, extra = 'eea39' AS concrete, extra IN ('europe', 'european') AS broad FROM k),
+p AS (SELECT *, CASE WHEN scope THEN CASE WHEN wide THEN 3 ELSE 2 END WHEN placed THEN CASE WHEN concrete OR len(places) > 1 THEN 3 WHEN len(places) = 1 THEN 2 WHEN broad THEN 1 ELSE 0 END ELSE 0 END AS t1,
+  CASE WHEN scope AND wide THEN 'european' WHEN scope THEN array_to_string(list_filter([n1, n2, extra], lambda v, i: list_position([n1, n2, extra], v) = i), '; ')
+    WHEN NOT placed THEN '' WHEN concrete THEN 'eea39' WHEN len(places) > 0 THEN array_to_string(places, '; ') WHEN broad THEN extra ELSE '' END AS e1,
+  CASE WHEN titled THEN 2 WHEN NOT warm THEN 1 ELSE 0 END AS t2, CASE WHEN titled THEN n1 WHEN NOT warm THEN 'global' ELSE '' END AS e2,
+  CASE WHEN concrete THEN 1 ELSE 0 END AS t3, CASE WHEN concrete THEN 3 WHEN described THEN 2 WHEN broad THEN 1 ELSE 0 END AS ts FROM b),
+q AS (SELECT *, greatest(t1, t2, t3) AS tt, CASE WHEN t1 >= greatest(t2, t3) THEN e1 WHEN t2 >= t3 THEN e2 ELSE 'eea39' END AS evidence FROM p),
+v AS (SELECT *, greatest(tt, ts) AS tier, CASE tt WHEN 0 THEN 'silent' WHEN 2 THEN 'against' ELSE 'for' END AS tv, CASE ts WHEN 0 THEN 'silent' WHEN 2 THEN 'against' ELSE 'for' END AS sv,
+  CASE WHEN label = 'multi_country_eu' THEN 'for' WHEN label IN ('single_country_eu', 'non_european') THEN 'against' ELSE 'silent' END AS bv FROM q),
+w AS (SELECT *, list_filter([bv, sv, tv], lambda x: x <> 'silent') AS said FROM v)
+SELECT id, CASE tier WHEN 3 THEN TRUE WHEN 2 THEN FALSE WHEN 1 THEN bv <> 'against' ELSE bv = 'for' END AS is_multi_country_eu, bv AS bbox_vote, sv AS spatial_desc_vote, tv AS terms_vote,
+  CASE WHEN len(said) < 2 THEN '' WHEN len(list_distinct(said)) = 1 THEN 'agree' ELSE 'disagree' END AS agree, evidence AS terms_evidence, 'S' || tier AS text_tier, label AS bbox_classification FROM w
+""")
+def multi_country_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of metadata, texts, place descriptions and box labels made from customers and nations, through parsing, bands and votes."""
+    from .operators import coverage, documents
+
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")  # 25 rows
+    first, second = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("n1")), nation.select(F.col("n_nationkey").alias("other"), F.col("n_name").alias("n2"))
+    rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment", (F.col("c_custkey") % 25).cast("int").alias("other"))
+    rows = rows.join(F.broadcast(first), "c_nationkey").join(F.broadcast(second), "other")
+    k = F.col("id") % 6
+    extra = F.when(k == 0, "EEA39").when(k == 1, " Europe ").when(k == 2, "National").when(k == 3, "European").otherwise("Atlantis")
+    vocabulary = F.create_map(*[F.lit(x) for x in ("AUTOMOBILE", "Spatial scope", "BUILDING", " Country", "FURNITURE", "Region", "MACHINERY", "GEMET", "HOUSEHOLD", "none")])
+    kind = F.when(F.col("c_mktsegment") == "HOUSEHOLD", "Place").otherwise("theme")
+    group = F.struct(kind.alias("keywords_type"), F.struct(F.element_at(vocabulary, F.col("c_mktsegment")).alias("name")).alias("vocabulary"), F.array("n1", "n2", extra).alias("keywords"))
+    text = F.to_json(F.struct(F.struct(F.create_map(F.lit("g"), group).alias("keywords")).alias("identification")))
+    title = F.concat(F.lit("Soils of "), F.initcap("n1"), F.when(F.col("id") % 4 == 0, " under global warming").otherwise(", a global map"))
+    abstract = F.concat_ws(" ", F.lit("Europe and"), "n2", F.when(k == 0, "in EEA39."))
+    five = F.col("id") % 5
+    label = F.when(five == 0, "multi_country_eu").when(five == 1, "single_country_eu").when(five == 2, "non_european").when(five == 3, "invalid")
+    rows = rows.select("id", coverage.evidence(documents.parse(text), title, abstract).alias("terms"), F.concat_ws(",", "n2", extra).alias("spatial_desc"), label.alias("classification"))
+    return coverage.multi_country(rows, ["id"])
