@@ -30,6 +30,19 @@ def ordered_set(value: Column, order: Column) -> Column:
     return F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), value.alias("v")))), lambda x: x["v"]))
 
 
+def least_values(rows: DataFrame, by: list[str], value: str, k: int, alias: str) -> DataFrame:
+    """``by`` and the ``k`` least distinct values, in order; no group is held whole."""
+    w = Window.partitionBy(*by).orderBy(value)
+    top = rows.where(F.col(value).isNotNull()).select(*by, value).distinct().withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= k)
+    return top.groupBy(*by).agg(F.array_sort(F.collect_list(value)).alias(alias))
+
+
+def census(rows: DataFrame, by: list[str], group: str, value: str, k: int = 5) -> DataFrame:
+    """Per kind of keyword group: distinct groups, values, and the ``k`` least values as examples."""
+    counts = rows.groupBy(*by).agg(F.countDistinct(group).alias("group_count"), F.count(F.lit(1)).alias("value_count"))
+    return counts.join(least_values(rows, by, value, k, "examples"), by, "left")
+
+
 def cited_by(edges: DataFrame) -> DataFrame:
     """(reference, citing, n_citing): who cites each reference; NULL references are left out."""
     return edges.where(F.col("reference").isNotNull()).groupBy("reference").agg(F.array_sort(F.collect_set("citing")).alias("citing")).withColumn("n_citing", F.size("citing").cast("long"))

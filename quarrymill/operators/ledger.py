@@ -82,3 +82,24 @@ def augment(records: DataFrame, record_id: str, properties: dict[str, Column], p
     pairs = F.array(*[F.struct(F.lit(p).alias("property"), v.cast("string").alias("value")) for p, v in properties.items()])
     flat = records.select(F.col(record_id).cast("string").alias("record_id"), F.explode(pairs).alias("x"))
     return flat.select("record_id", "x.property", "x.value", F.lit(process).alias("process"), as_of.alias("date"))
+
+
+def next_batch(records: DataFrame, key: str, done: DataFrame, done_key: str, wanted: Column, limit: int) -> DataFrame:
+    """The next ``limit`` pending records (by key) that a process wants: a batch of its work, not a sample."""
+    return not_exists(records.where(wanted), key, done, done_key).orderBy(key).limit(limit)
+
+
+def pending_dois(records: DataFrame, key: str, identifier: str, status: DataFrame, status_key: str, limit: int = 100) -> DataFrame:
+    """Records whose identifier holds a DOI and that have no status yet."""
+    return next_batch(records, key, status, status_key, F.col(identifier).rlike(r"10\.[0-9]{4,9}/\S+"), limit)
+
+
+def pending_persons(persons: DataFrame, key: str, orcid: str, employment: DataFrame, person_key: str, limit: int = 1000) -> DataFrame:
+    """Persons with an identifier of their own whose employment isn't known yet."""
+    return next_batch(persons, key, employment, person_key, F.coalesce(orcid, F.lit("")) != "", limit)
+
+
+def pending_videos(records: DataFrame, key: str, identifier: str, answer: str, limit: int = 100) -> DataFrame:
+    """Records that point to a video and have no answer; a failure that was noted counts as one."""
+    link = F.lower(identifier).contains("youtu.be") | F.lower(identifier).contains("youtube.com")
+    return records.where(link & F.col(answer).isNull()).orderBy(key).limit(limit)

@@ -74,14 +74,14 @@ def scalar_subquery_any(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
 SELECT user_id, count(*) AS n_items FROM events
-WHERE event_type = 'view' AND user_id NOT IN (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND value > 20)
-  AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value > 30)
+WHERE event_type = 'view' AND user_id NOT IN (SELECT DISTINCT user_id FROM events WHERE event_type = 'error' AND value > 90)
+  AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'signup' AND value > 90)
 GROUP BY user_id
 """)
 def pending_two_ledgers_counted(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
-    rows = L.not_exists(e.where("event_type = 'view'"), "user_id", e.where("event_type = 'error' AND value > 20"), "user_id")
-    rows = L.not_exists(rows, "user_id", e.where("event_type = 'signup' AND value > 30"), "user_id")
+    rows = L.not_exists(e.where("event_type = 'view'"), "user_id", e.where("event_type = 'error' AND value > 90"), "user_id")
+    rows = L.not_exists(rows, "user_id", e.where("event_type = 'signup' AND value > 90"), "user_id")
     return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_items"))
 
 
@@ -211,7 +211,7 @@ FROM orders GROUP BY 1, 2, 5
 def keyword_group_census(spark: SparkSession, sf: str) -> DataFrame:
     route = F.when(F.col("o_orderstatus") == "F", "scope_tag").when(F.col("o_orderstatus") == "P", "place_keyword").otherwise("dropped")
     rows = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("vocabulary"), F.col("o_orderstatus").alias("keywords_type"), route.alias("routed_band"), "o_custkey", (F.col("o_orderkey") % 97).cast("int").alias("x"))
-    return rows.groupBy("vocabulary", "keywords_type", "routed_band").agg(F.countDistinct("o_custkey").alias("group_count"), F.count(F.lit(1)).alias("value_count"), F.slice(F.array_sort(F.collect_set("x")), 1, 5).alias("examples"))
+    return A.census(rows, ["vocabulary", "keywords_type", "routed_band"], "o_custkey", "x")
 
 
 @query("SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -273,10 +273,10 @@ def sample_description(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT user_id, string_agg(DISTINCT event_type, ';' ORDER BY event_type) AS spatial_description FROM events WHERE value > 25 GROUP BY user_id
+SELECT user_id, string_agg(DISTINCT event_type, ';' ORDER BY event_type) AS spatial_description FROM events GROUP BY user_id
 """)
 def entities_joined(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").where("value > 25").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ";").alias("spatial_description"))
+    return table(spark, sf, "events").groupBy("user_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ";").alias("spatial_description"))
 
 
 @query("""
@@ -361,3 +361,35 @@ def missing_translation_slots(spark: SparkSession, sf: str) -> DataFrame:
     slots = part.select(F.col("p_name").alias("source")).distinct().withColumn("lang", F.explode(F.array(*[F.lit(x) for x in ("de", "fr")])))
     cache = part.where("p_size > 25").select(F.lit("de").alias("lang"), F.col("p_name").alias("source")).distinct()
     return slots.join(cache, ["lang", "source"], "left_anti").select("source", "lang")
+
+
+@query("""
+SELECT c_custkey, 'https://doi.org/10.' || (1000 + c_nationkey) || '/' || c_custkey AS identifier FROM customer
+WHERE c_custkey % 3 <> 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') ORDER BY c_custkey LIMIT 100
+""")
+def pending_dois(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("c_custkey")
+    identifier = F.when(k % 3 == 0, F.concat(F.lit("urn:10.1/"), k.cast("string"))).otherwise(F.concat(F.lit("https://doi.org/10."), (F.col("c_nationkey") + 1000).cast("string"), F.lit("/"), k.cast("string")))
+    rows = table(spark, sf, "customer").select("c_custkey", identifier.alias("identifier"))
+    return L.pending_dois(rows, "c_custkey", "identifier", table(spark, sf, "orders").where("o_orderstatus = 'P'"), "o_custkey")
+
+
+@query("""
+SELECT s_suppkey, CASE WHEN s_suppkey % 4 > 0 THEN '0000-' || s_suppkey END AS orcid FROM supplier
+WHERE s_suppkey % 4 > 1 AND s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity < 2) ORDER BY s_suppkey LIMIT 1000
+""")
+def pending_persons(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    orcid = F.when(k % 4 == 1, "").when(k % 4 > 1, F.concat(F.lit("0000-"), k.cast("string")))
+    rows = table(spark, sf, "supplier").select("s_suppkey", orcid.alias("orcid"))
+    return L.pending_persons(rows, "s_suppkey", "orcid", table(spark, sf, "lineitem").where("l_quantity < 2"), "l_suppkey")
+
+
+@query("""
+SELECT p_partkey FROM part WHERE p_partkey % 5 IN (0, 1) AND p_size > 10 ORDER BY p_partkey LIMIT 100
+""")
+def pending_videos(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("p_partkey")
+    link = F.when(k % 5 == 0, F.concat(F.lit("https://www.YouTube.com/watch?v="), k.cast("string"))).when(k % 5 == 1, F.concat(F.lit("https://youtu.be/"), k.cast("string"))).otherwise("https://video.org/youtub")
+    rows = table(spark, sf, "part").select("p_partkey", link.alias("identifier"), F.when(F.col("p_size") <= 10, "failed").alias("doimetadata"))
+    return L.pending_videos(rows, "p_partkey", "identifier", "doimetadata").select("p_partkey")

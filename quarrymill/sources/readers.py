@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geo import clip_to_box, ring_points
+from ..functions.places import COUNTRIES
 from ..functions.text import cell
 
 
@@ -62,6 +64,28 @@ def geojson(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
     return whole.select(F.col("f.properties")[name].alias("name"), F.when(F.col("f.geometry.type") == "MultiPolygon", multi).otherwise(poly).alias("rings"))
 
 
+# Names that the country file gives to countries of Europe, beside their short names in capitals.
+FILE_NAMES = {
+    "Bosnia & Herzegovina": "bosnia and herzegovina", "Czech Republic": "czechia", "Moldova, Republic of": "moldova", "Russian Federation": "russia",
+    "The former Yugoslav Republic of Macedonia": "macedonia", "U.K. of Great Britain and Northern Ireland": "united kingdom",
+}
+# The country that is cut, and the box that is left of it.
+CLIPPED, CLIP_BOX = "Russian Federation", (0.0, -90.0, 60.0, 90.0)
+
+
+def countries(rows: DataFrame) -> DataFrame:
+    """name, canonical, is_eu, rings and w, s, e, n of ``geojson`` rows: European by canonical name, one country cut at a meridian.
+
+    Names stay those of the file; ``canonical`` is NULL for countries of other continents.
+    """
+    known = F.create_map(*[F.lit(x) for pair in FILE_NAMES.items() for x in pair])
+    plain = F.when(F.lower("name").isin(COUNTRIES) & ~F.lower("name").isin("czechia", "russia", "united kingdom"), F.lower("name"))
+    cut = F.transform("rings", lambda r: F.transform(clip_to_box(ring_points(r), *map(F.lit, CLIP_BOX)), lambda p: F.array(p["x"], p["y"])))
+    rings = F.when(F.col("name") == CLIPPED, F.filter(cut, lambda r: F.size(r) > 2)).otherwise(F.col("rings"))
+    out = rows.select("name", F.coalesce(F.try_element_at(known, F.col("name")), plain).alias("canonical"), rings.alias("rings"))
+    return out.select("name", "canonical", F.col("canonical").isNotNull().alias("is_eu"), "rings", ring_bounds(F.col("rings")).alias("b")).select("name", "canonical", "is_eu", "rings", "b.*")
+
+
 def ring_bounds(rings: Column) -> Column:
     """struct(w, s, e, n) of a geometry's rings."""
     points = F.flatten(rings)
@@ -79,9 +103,11 @@ def xml_bbox(xml: Column) -> Column:
 
 
 def triples(rows: DataFrame, key: str, turtle: str) -> DataFrame:
-    """(key, s, p, o, kind, lang, pos): statements of N-Triples or of Turtle with full names, ``;`` and ``,`` lists.
+    """(key, s, p, o, kind, lang, pos): statements of N-Triples or Turtle with ``;`` and ``,`` lists.
 
-    Prefixed names stay as they are written. Comments and directives are dropped.
+    Prefixes and the base are resolved, ``a`` is the type. What can't be read (blank node lists,
+    collections, damage) is skipped up to the end of its statement and returned as a row of kind
+    ``unread`` with the skipped text as its object, so that nothing is lost without a word.
     """
     import pandas as pd
 
@@ -97,28 +123,52 @@ def triples(rows: DataFrame, key: str, turtle: str) -> DataFrame:
     return rows.select(key, turtle).mapInPandas(parse, f"`{key}` {kind}, s string, p string, o string, kind string, lang string, pos int")
 
 
+# Fixed value: what ``a`` stands for.
+TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
+
+
 def _statements(text: str):
     import re
 
-    token = re.compile(r"""\s*(?:(#[^\n]*)|(<[^>]*>)|("(?:[^"\\]|\\.)*")(?:@([A-Za-z-]+)|\^\^\S+?(?=[\s;,.]))?|(@prefix[^\n]*)|([;,.](?=\s|$))|([^\s;,<>"]+?)(?=[\s;,]|\.\s|\.$|$))""")
-    at, row = 0, []
-    while at < len(text):
+    token = re.compile(
+        r"""\s*(?:(?P<comment>\#[^\n]*)|(?P<iri><[^<>\s]*>)|(?P<literal>\"\"\"(?:[^"\\]|\\.|"(?!""))*\"\"\"|"(?:[^"\\\n]|\\.)*")(?:@(?P<lang>[A-Za-z-]+)|\^\^(?:<[^>]*>|[\w.-]*:[\w.-]+))?"""
+        r"""|(?P<directive>@?(?i:prefix)\s+(?P<short>[\w.-]*):\s*<(?P<long>[^>]*)>(?:\s*\.)?|@?(?i:base)\s+<(?P<base>[^>]*)>(?:\s*\.)?)|(?P<mark>[;,.](?=\s|$))|(?P<name>[^\s;,<>"\[\]()]+?)(?=[\s;,]|\.\s|\.$|$))""",
+        re.S,
+    )
+    prefixes: dict[str, str] = {}
+    base, at, row = "", 0, []
+    escapes = {"n": "\n", "t": "\t", "r": "\r"}
+
+    def named(name: str, verb: bool) -> tuple[str, str, None]:
+        short, colon, rest = name.partition(":")
+        if verb and name == "a":
+            return TYPE, "iri", None
+        return (prefixes[short] + rest, "iri", None) if colon and short in prefixes else (name, "name", None)
+
+    while text[at:].strip():
         m = token.match(text, at)
-        if not m or m.end() == at:
-            break
-        at = m.end()
-        comment, iri, literal, lang, prefix, mark, name = m.groups()
-        if comment or prefix:
+        if not m or m.end() == at or len(row) == 3 and not m["mark"] and not m["comment"]:
+            stop = re.compile(r"\.(?:\s+|$)").search(text, at)
+            end = stop.end() if stop else len(text)
+            yield None, None, text[at:end].strip(), "unread", None
+            at, row = end, []
             continue
-        if mark:
-            row = {".": [], ";": row[:1], ",": row[:2]}[mark]
-            continue
-        if iri:
-            row.append((iri[1:-1], "iri", None))
-        elif literal:
-            row.append((re.sub(r"\\(.)", lambda x: {"n": "\n", "t": "\t"}.get(x[1], x[1]), literal[1:-1]), "literal", lang))
-        elif name:
-            row.append((name, "name", None))
-        if len(row) == 3:
+        at = m.end()
+        if m["directive"]:
+            if m["long"] is not None:
+                prefixes[m["short"]] = m["long"]
+            else:
+                base = m["base"]
+        elif m["mark"]:
+            row = {".": [], ";": row[:1], ",": row[:2]}[m["mark"]]
+        elif m["iri"] is not None:
+            iri = m["iri"][1:-1]
+            row.append((iri if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", iri) else base + iri, "iri", None))
+        elif m["literal"] is not None:
+            bare = m["literal"][3:-3] if m["literal"].startswith('"""') else m["literal"][1:-1]
+            row.append((re.sub(r"\\(.)", lambda x: escapes.get(x[1], x[1]), bare), "literal", m["lang"]))
+        elif m["name"]:
+            row.append(named(m["name"], len(row) == 1))
+        if len(row) == 3 and not m["comment"]:
             (s, _, _), (p, _, _), (o, kind, lang) = row
             yield s, p, o, kind, lang

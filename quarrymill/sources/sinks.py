@@ -25,10 +25,41 @@ def versioned_json(rows: DataFrame, path: str) -> int:
     return n
 
 
-def augments(rows: DataFrame, status: DataFrame, path: str) -> None:
-    """Appends augment rows, then status rows: what has no status yet is done again. Both by process."""
-    rows.write.mode("append").partitionBy("process").parquet(f"{path}/augments")
-    status.write.mode("append").partitionBy("process").parquet(f"{path}/status")
+def augments(rows: DataFrame, status: DataFrame, path: str, batch: str) -> None:
+    """Writes a batch's augment rows, then its status rows, by process: what has no status yet is done again.
+
+    A batch that is written again (after a failure between the two, say) replaces its own rows and no others.
+    """
+    for part, name in ((rows, "augments"), (status, "status")):
+        out = part.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy("process", "batch").parquet(f"{path}/{name}")
+
+
+def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a table at ``path``; none where nothing was written yet."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def append_ignoring(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Appends the rows whose keys the table at ``path`` lacks, one row a key; written twice they are there once."""
+    types = dict(rows.dtypes)
+    have = stored(rows.sparkSession, path, ", ".join(f"`{c}` {types[c]}" for c in rows.columns)).select(*keys)
+    rest = [c for c in rows.columns if c not in keys]
+    one = rows.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("__r")).select(*keys, "__r.*") if rest else rows.distinct()
+    one.join(have, keys, "left_anti").select(*rows.columns).write.mode("append").parquet(path)
+
+
+def insert_records(records: DataFrame, path: str) -> None:
+    """Harvested records into the table of items, by identifier and hash, and into the one that tells duplicates by source."""
+    append_ignoring(records, f"{path}/items", ["identifier", "hash"])
+    append_ignoring(records.select("identifier", "identifiertype", "source", "hash").distinct(), f"{path}/item_duplicates", ["identifier", "source", "hash"])
+
+
+def add_sources(sources: DataFrame, path: str) -> None:
+    """Sources (name, url, filter, type) under their names in capitals, unless they are known."""
+    append_ignoring(sources.withColumn("name", F.upper("name")), path, ["name"])
 
 
 def status_of(records: DataFrame, key: str, process: str, status: str = "success", details: str | None = None) -> DataFrame:

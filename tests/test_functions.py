@@ -121,9 +121,13 @@ def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "g.json").write_text(json.dumps({"features": [{"properties": {"name": "A"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 1], [4, 1], [4, 3], [0, 1]]]}}, {"properties": {"name": "B"}, "geometry": {"type": "MultiPolygon", "coordinates": [[[[5, 5], [6, 7], [5, 5]]], [[[8, 1], [9, 2], [8, 1]]]]}}]}))
     g = R.geojson(spark, str(tmp_path / "g.json")).select("name", R.ring_bounds(F.col("rings")).alias("b")).collect()
     assert [(r["name"], *r["b"]) for r in g] == [("A", 0, 1, 4, 3), ("B", 5, 1, 9, 7)]
-    ttl = '@prefix x: <http://x/> .\n<http://a> <http://p> "one"@en , "zwei"@de ; x:q <http://b> . # end\n<http://c> a "say \\"hi\\"" .'
+    ttl = '@prefix x: <http://x/> .\nPREFIX y: <http://y#>\n@base <http://b/> .\n<http://a> <http://p> "one"@en , "zwei"@de ; x:q <c> . # end\n<http://c> a "say \\"hi\\"" .\ny:d x:e [ x:f 1 ] .\nx:g y:h """two\nlines""" ; z:i 7 .'
     t = R.triples(spark.createDataFrame([(1, ttl), (2, None)], "id int, t string"), "id", "t").collect()
-    assert [(r["s"], r["p"], r["o"], r["lang"]) for r in t] == [("http://a", "http://p", "one", "en"), ("http://a", "http://p", "zwei", "de"), ("http://a", "x:q", "http://b", None), ("http://c", "a", 'say "hi"', None)]
+    assert [(r["s"], r["p"], r["o"], r["lang"]) for r in t] == [
+        ("http://a", "http://p", "one", "en"), ("http://a", "http://p", "zwei", "de"), ("http://a", "http://x/q", "http://b/c", None), ("http://c", R.TYPE, 'say "hi"', None),
+        (None, None, "[ x:f 1 ] .", None), ("http://x/g", "http://y#h", "two\nlines", None), ("http://x/g", "z:i", "7", None),
+    ]
+    assert [r["kind"] for r in t] == ["literal", "literal", "iri", "literal", "unread", "literal", "name"]
     rows = spark.createDataFrame([(1, 'a"b')], "k int, v string")
     W.quoted_csv(rows, str(tmp_path / "out"), ["v", "k"])
     assert spark.read.text(str(tmp_path / "out")).collect()[1][0] == '"a""b","1"'
@@ -216,3 +220,29 @@ def test_fuzzy_scores_equal_the_column_expression(spark):
     got = {(r["key"], r["label"]): r["score"] for r in M.fuzzy_scores(keys, labels, 60).collect()}
     both = keys.crossJoin(labels).withColumn("score", T.similarity(F.col("key"), F.col("label"))).where("score >= 60")
     assert got == {(r["key"], r["label"]): r["score"] for r in both.collect()} and len(got) > len(names)
+
+
+def test_countries_of_a_file(spark):
+    square = [[[0.0, 50.0], [10.0, 50.0], [10.0, 60.0], [0.0, 60.0], [0.0, 50.0]]]
+    wide = [[[30.0, 50.0], [120.0, 50.0], [120.0, 70.0], [30.0, 70.0], [30.0, 50.0]], [[130.0, 50.0], [140.0, 50.0], [135.0, 60.0], [130.0, 50.0]]]
+    rows = spark.createDataFrame([("Russian Federation", wide), ("Moldova, Republic of", square), ("France", square), ("Canada", square)], "name string, rings array<array<array<double>>>")
+    got = {r["name"]: r for r in R.countries(rows).collect()}
+    assert {k: (r["canonical"], r["is_eu"], r["w"], r["e"], len(r["rings"])) for k, r in got.items()} == {
+        "Russian Federation": ("russia", True, 30.0, 60.0, 1), "Moldova, Republic of": ("moldova", True, 0.0, 10.0, 1), "France": ("france", True, 0.0, 10.0, 1), "Canada": (None, False, 0.0, 10.0, 1),
+    }
+
+
+def test_writers_can_run_twice(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "p", "1"), ("b", "p", "2")], "record_id string, process string, value string")
+    status = W.status_of(rows, "record_id", "p")
+    for _ in range(2):
+        W.augments(rows, status, str(tmp_path), "one")
+    W.augments(rows.limit(1), status.limit(1), str(tmp_path), "two")
+    assert [spark.read.parquet(str(tmp_path / n)).count() for n in ("augments", "status")] == [3, 3]
+    items = spark.createDataFrame([("i", "doi", "S", "h1", "t"), ("i", "doi", "S", "h1", "u"), ("j", "uri", "S", "h2", None)], "identifier string, identifiertype string, source string, hash string, title string")
+    for part in (items, items, items.withColumn("hash", F.lit("h3"))):
+        W.insert_records(part, str(tmp_path / "harvest"))
+    assert [spark.read.parquet(str(tmp_path / "harvest" / n)).count() for n in ("items", "item_duplicates")] == [4, 4]
+    for name in ("Zenodo", "ZENODO", "other"):
+        W.add_sources(spark.createDataFrame([(name, "u", None, "t")], "name string, url string, filter string, type string"), str(tmp_path / "sources"))
+    assert sorted(r["name"] for r in spark.read.parquet(str(tmp_path / "sources")).collect()) == ["OTHER", "ZENODO"]
