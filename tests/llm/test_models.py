@@ -74,17 +74,19 @@ def cost_by_hand(m, counts, text):
     bits = 0.0
 
     def slot(k, context, node):
-        h = (context * 0x9E3779B1 & 0xFFFFFFFF) ^ ((node + (k << 27)) * 0x85EBCA6B & 0xFFFFFFFF)
+        h = (context * 0x9E3779B1 & 0xFFFFFFFF) ^ (node * 0x85EBCA6B + k * 0x27D4EB2F & 0xFFFFFFFF)
         h ^= h >> 15
-        return (h * 0xC2B2AE35 & 0xFFFFFFFF) >> 12
+        return (h * 0xC2B2AE35 & 0xFFFFFFFF) >> (32 - m.book.slot_bits)
 
     def price(which, contexts, node, phase, place, bit):
         z = 0.0
         for k in which:
-            s = slot(k, contexts[k], node)
-            z += float(m.weights[k][phase * M.CONFIDENCE + int(m.gates[k][s])]) * float(m.logits[k][s])
+            code = int(m.codes[k][slot(k, contexts[k], node)])
+            z += float(m.mixer.weights[k, phase, code // 256]) * (code % 256 - 128) / 10
+        z = round(max(-12, min(12, z)) * 64) / 64
+        hits = m.mixer.hits[place] + m.mixer.start
         step = max(-16, min(16, round(z * 2))) + 16
-        p = 0.5 / (1 + math.exp(-max(-12, min(12, z)))) + 0.5 * float(m.refined[place][step])
+        p = 0.5 / (1 + math.exp(-z)) + 0.5 * hits[step][1] / hits[step].sum()
         return -math.log2(p if bit else 1 - p)
 
     near = far = skip = None
@@ -104,7 +106,7 @@ def cost_by_hand(m, counts, text):
         n, code = int(m.book.sizes[r]), int(m.book.codes[r])
         for j in range(n):
             which = [k for k, reach in enumerate(M.REACH) if j < reach]
-            bits += price(which, late, (1 << j | code >> (n - j)) + 256, 1 if j < 6 else 2 if j < 8 else 3, 4 + min(j, 27), code >> (n - j - 1) & 1)
+            bits += price(which, late, (1 << j | code >> (n - j)) + 256, 1 if j < 5 else 2 if j < 7 else 3, 4 + min(j, 27), code >> (n - j - 1) & 1)
         if r == escape:
             data = np.frombuffer(raw + b" ", np.uint8)
             bits += float(m.spelling.cost(data, np.zeros(1, np.int64), np.array([len(raw)]))[0])
@@ -172,8 +174,8 @@ def test_probabilities_sum_to_one(spark):
         bits = 0.0
         for at, phase, place, bit, which, slots in u.steps(m.book, 1, 2):
             if phase and len(at):
-                z = sum(m.weights[k, phase * M.CONFIDENCE + int(m.gates[k][s[0]])] * m.logits[k][s[0]] for k, s in zip(which, slots, strict=True))
-                bits += float(M._price(np.array([z]), m.refined[place][M._step(np.array([z]))], bit)[0])
+                z = sum(m.weighted(k, phase)[s[0]] for k, s in zip(which, slots, strict=True))
+                bits += float(m.prices[2 * place + bit[0], M.fine(z)])
         total += 2.0**-bits
     assert abs(total - 1) < 1e-4
     # of all bytes after the same start of a spelled word
@@ -183,7 +185,7 @@ def test_probabilities_sum_to_one(spark):
         bits = 0.0
         for node, bit, slots in M.steps(symbols, np.arange(2)):
             z = sum(t[x[1:]] for t, x in zip(m.spelling.tables, slots, strict=True))
-            bits += float(M._price(z, m.spelling.refined[node[1:], M._step(z)], bit[1:])[0])
+            bits += float(m.spelling.prices[2 * node[1:] + bit[1:], M.fine(z)][0])
         total += 2.0**-bits
     assert abs(total - 1) < 1e-4
 
