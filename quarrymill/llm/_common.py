@@ -11,6 +11,7 @@ import contextlib
 import ctypes
 import functools
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -51,17 +52,31 @@ def trimmed(f):
 def shared_dir(spark: SparkSession) -> str:
     """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``).
 
-    What is written there backs DataFrames that are still lazy, so nothing deletes it before the
-    job's end; ``qm-*`` may go then.
-
-    Only where the session names none (tests on one machine) a local folder is made.
+    Only where the session names none and runs on one machine (tests) a local folder is made; on a
+    cluster that is an error. What is written there backs DataFrames that are still lazy, so it
+    stays until ``discard``.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = getattr(shared_dir, "own", None)
         if root is None:
             root = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="quarrymill-")
-    return f"{root.rstrip('/')}/qm-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/qm-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+_MADE: list[str] = []
+
+
+def discard(spark: SparkSession) -> None:
+    """Deletes all that this process put into the shared folder: to be called when no result is read any more."""
+    for path in _MADE:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _MADE.clear()
 
 
 def staged(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ file: for each record its byte offset and its number of ids, 8 bytes each, so th
 can be read alone. Files are written under an attempt's own name and renamed when complete;
 a task that runs again writes the same bytes.
 
-Null text counts as empty: its record holds the end id alone. Rows that share an id are
+Ids are whole numbers or NULL. Null text counts as empty: its record holds the end id alone. Rows that share an id are
 ordered by text. An empty table writes no files.
 """
 
@@ -76,14 +76,14 @@ def write(docs: DataFrame, out: str, vocabulary: str, id_col: str = "doc_id", te
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
         store, root = _open(out)
-        name, index, at, total = f"{root}/part-{part:06d}", [], 0, 0
-        own, data = uuid.uuid4().hex, None
+        own, data = f"part-{part:06d}-{uuid.uuid4().hex}", None
+        name, index, at, total = f"{root}/{own}", [], 0, 0
         enc = encoder(vocabulary)
         end = np.array([end_id], enc.kind).tobytes()
         for pdf in batches:
             if data is None:
                 store.create_dir(root, recursive=True)
-                data = store.open_output_stream(f"{name}.{own}")
+                data = store.open_output_stream(f"{name}.rec")
             for key, ids in zip(pdf["id"], enc.encode(pdf["text"].tolist()), strict=True):
                 body = payload(None if pd.isna(key) else int(key), ids.tobytes() + end, enc.wide)
                 n = (len(body) - 9) // (4 if enc.wide else 2)
@@ -93,14 +93,12 @@ def write(docs: DataFrame, out: str, vocabulary: str, id_col: str = "doc_id", te
         if data is None:
             return
         data.close()
-        with store.open_output_stream(f"{name}.{own}.index") as f:
+        with store.open_output_stream(f"{name}.idx") as f:
             f.write(np.array(index, "<i8").tobytes())
-        store.move(f"{name}.{own}", f"{name}.rec")
-        store.move(f"{name}.{own}.index", f"{name}.idx")
-        yield pd.DataFrame({"part": [part], "docs": [len(index)], "ids": [total]})
+        yield pd.DataFrame({"part": [part], "name": [own], "docs": [len(index)], "ids": [total]})
 
-    found = sorted(rows.mapInPandas(save, "part int, docs long, ids long").collect())
-    return [{"path": f"{out}/part-{p:06d}", "docs": n, "ids": k} for p, n, k in found]
+    found = sorted(rows.mapInPandas(save, "part int, name string, docs long, ids long").collect())  # a row a file
+    return [{"path": f"{out}/{name}", "docs": n, "ids": k} for _, name, n, k in found]
 
 
 def read(spark: SparkSession, files: list[dict]) -> DataFrame:

@@ -22,7 +22,8 @@ Two forms:
   texts hold come last in the order.
 
 Null text counts as empty: fingerprint zero, linked like any other. Rows with a null id take
-part in links; a component's id is its smallest non-null id. Repeated rows keep their rows.
+part in links; a component's id is its smallest non-null id. Repeated rows keep their rows. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations

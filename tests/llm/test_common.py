@@ -31,3 +31,30 @@ def test_slices_cover_all_rows():
         cuts = list(C.slices(n, 50))
         assert [i for a, b in cuts for i in range(a, b)] == list(range(len(n)))
         assert all(b - a == 1 or n[a:b].sum() <= 50 for a, b in cuts)
+
+
+def test_scratch_folder_is_refused_on_a_cluster_and_discarded(spark):
+    import os
+
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):  # noqa: N802
+            return {}
+
+    class Session:
+        sparkContext = Context()  # noqa: N815
+
+    with pytest.raises(ValueError):
+        C.shared_dir(Session())
+    made = C.staged(spark.range(3))
+    assert made.count() == 3
+    path = C._MADE[-1].removeprefix("file://")
+    assert os.path.isdir(path)
+    held = C._MADE[:-1]
+    C._MADE[:] = C._MADE[-1:]
+    C.discard(spark)
+    assert not os.path.exists(path) and not C._MADE
+    C._MADE[:] = held
