@@ -246,3 +246,29 @@ def test_writers_can_run_twice(spark, tmp_path):
     for name in ("Zenodo", "ZENODO", "other"):
         W.add_sources(spark.createDataFrame([(name, "u", None, "t")], "name string, url string, filter string, type string"), str(tmp_path / "sources"))
     assert sorted(r["name"] for r in spark.read.parquet(str(tmp_path / "sources")).collect()) == ["OTHER", "ZENODO"]
+
+
+def test_chunks_match_a_loop(spark):
+    import random
+    import re
+
+    rng = random.Random(4)
+    texts = ["", "One.", "No end"] + [" ".join("".join(rng.choice("abcÄ") for _ in range(rng.randint(1, 9))).capitalize() + rng.choice(["", ".", "!", "?"]) for _ in range(rng.randint(1, 80))) for _ in range(60)]
+
+    def by_hand(text, low, high):
+        done, now = [], ""
+        for t in re.split(r"(?<=[.!?])\s+(?=[A-ZÄÖÜ])", text):
+            joined = f"{now} {t}" if now else t
+            if not now or len(now) < low and len(joined) <= high:
+                now = joined
+            else:
+                done.append(now)
+                now = t
+        if now and len(now) < low and done:
+            done[-1] += f" {now}"
+        elif now:
+            done.append(now)
+        return done
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", X.chunks(F.col("t"), 30, 90).alias("c")).collect()
+    assert {r["k"]: r["c"] for r in rows} == {k: by_hand(t, 30, 90) for k, t in enumerate(texts)}
