@@ -13,13 +13,15 @@ Two forms:
 - ``classes``: 64-bit fingerprints of word shingles within 4 bits, exactly. Such a pair agrees in
   at least 2 of 6 blocks, so the keys are the 15 pairs of blocks.
 - ``near_classes``: texts whose sets of five-word shingles have a Jaccard index of 0.8 or more,
-  exactly. Every link is checked on the sets, made again from the texts of the pairs. Candidates
-  come in two steps. Fingerprints go first, so that a group of copies need not become all its
-  pairs: 64-bit ones of the distinct words within ``RADIUS`` bits under ``TABLES`` keys, and 256-bit
-  ones of the shingles within ``ALIKE`` bits; one such link a node is checked. What these miss
-  comes from prefixes: with all shingles in one order, sets of that similarity share one of their
-  first n - 0.8 n + 1, and as many as what follows these can't make up for. Shingles that many
-  texts hold come last in the order.
+  exactly. Every link is checked on the sets, made again from the texts. Fingerprints only make
+  loose groups, wider than the links: 64-bit ones of the distinct words within ``RADIUS`` bits under
+  ``TABLES`` keys, and 256-bit ones of the shingles within ``ALIKE`` bits. A group's sets meet in a
+  task, which compares all of them and returns a spanning forest: neither copies nor texts that
+  are a little less alike become rows by pairs. A group over ``HELD`` shingles is dealt out as pairs
+  of parts, after one link a node was checked; where these connect all of it, it isn't compared.
+  Links between groups come from prefixes: with all shingles in one order, sets of that similarity
+  share one of their first n - 0.8 n + 1, and as many as what follows these can't make up for.
+  Shingles that many texts hold come last in the order.
 
 Null text counts as empty: fingerprint zero, linked like any other. Rows with a null id take
 part in links; a component's id is its smallest non-null id. Repeated rows keep their rows. An empty
@@ -45,8 +47,11 @@ WIDTHS = [11, 11, 11, 11, 10, 10]
 BUCKET = 40_000
 #: Pairs of trie nodes in work at once.
 FRONTIER = 250_000
-#: Of the near form: bits that word fingerprints may differ in, keys, and bits of the shingles' fingerprints.
-RADIUS, TABLES, ALIKE, NEAR_WIDTH = 12, 32, 51, 5
+#: Of the near form's groups: bits that word fingerprints may differ in, keys, and bits of the shingles' fingerprints
+#: (about a Jaccard index of 0.4; those of unrelated texts differ in 128). They decide the work alone, not the links found.
+RADIUS, TABLES, ALIKE, NEAR_WIDTH = 12, 32, 80, 5
+#: Shingles that one task holds of a group, and what a set counts beside its shingles.
+HELD, ROW = 1_000_000, 50
 #: Shingles in the prefixes of more rows than this come last in the order, the most frequent ``LAST`` of them.
 #: Both decide the work alone, not the links found.
 COMMON, LAST = 50, 1_000_000
@@ -391,6 +396,12 @@ def _meeting(rows: np.ndarray) -> Iterator[pd.DataFrame]:
 
     c: how many keys they meet under; need: with fewer the shingles after both prefixes can't make up for it.
     """
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 0]))]
+    # shingles that one component alone holds go first: its nodes need not be compared
+    key, comp = rows[:, 0], rows[:, 2]
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(rows)])
+    end = np.append(begin[1:], len(rows))
+    rows = rows[np.repeat(comp[begin] != comp[end - 1], end - begin)] if len(rows) else rows
     rows = rows[np.lexsort((rows[:, 3], rows[:, 0]))]
     key, node, comp, n, pos = rows.T
     bucket = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))[: len(rows)]
@@ -431,24 +442,108 @@ def prefix_pairs(nodes: DataFrame) -> DataFrame:
     return staged(met.groupBy("u", "v").agg(F.sum("c").alias("c"), F.max("need").alias("need")).where("c >= need").select("u", "v"))
 
 
-def shingle_sets(docs: DataFrame, nodes: DataFrame, text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
-    """(node, shingles) of ``nodes`` (node, h): the sorted hashes of the distinct shingles of a text with the hash h."""
+def texts_of(docs: DataFrame, nodes: DataFrame, text_col: str = "text") -> DataFrame:
+    """(h, text) for each h of ``nodes``: a text with that hash, once."""
     low = lambda c: F.col(c).bitwiseAND(F.lit((1 << 18) - 1))
     some = nodes.select(low("h").alias("low")).distinct()  # 2 ** 18 rows at most
     texts = docs.select(F.xxhash64(text_col).alias("h"), F.coalesce(text_col, F.lit("")).alias("text"))
-    texts = texts.withColumn("low", low("h")).join(F.broadcast(some), "low", "left_semi").drop("low").join(nodes.select("node", "h"), "h")
+    texts = texts.withColumn("low", low("h")).join(F.broadcast(some), "low", "left_semi").drop("low")
+    return texts.join(nodes.select("h").distinct().hint("shuffle_merge"), "h", "left_semi").dropDuplicates(["h"])
+
+
+def shingle_sets(docs: DataFrame, nodes: DataFrame, text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
+    """(node, shingles) of ``nodes`` (node, h): the sorted hashes of the distinct shingles of a text with the hash h."""
 
     @trimmed
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"node": pdf["node"], "shingles": [np.unique(shingle_hashes(t, width)).tobytes() for t in pdf["text"]]})
 
-    return texts.select("node", "text").dropDuplicates(["node"]).mapInPandas(run, "node long, shingles binary")
+    texts = texts_of(docs, nodes, text_col).join(nodes.select("node", "h"), "h")
+    return texts.select("node", "text").mapInPandas(run, "node long, shingles binary")
+
+
+def set_links(comp: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links (positions) that connect all sets with a Jaccard index of 0.8 or more; those of one ``comp`` are connected.
+
+    Shared shingles are counted for some rows against all at a time: those that many sets hold by a
+    product of matrices, others by the lists of the sets that hold them.
+    """
+    k, n = len(sets), np.array([len(x) for x in sets], np.int64)
+    forest = Forest(k)
+    _, first, own = np.unique(comp, return_index=True, return_inverse=True)
+    if len(first) < 2:
+        return forest.links
+    forest.root = first[own]
+    row = np.repeat(np.arange(k), n)
+    _, token, df = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
+    often, some = df[token] > max(32, k // 16), df[token] > 1
+    often_row, (often_token, col) = row[often], np.unique(token[often], return_inverse=True)
+    some &= ~often
+    row, token = row[some], token[some]
+    held = row[np.argsort(token, kind="stable")]
+    size = np.bincount(token, minlength=len(df))
+    start = np.cumsum(size) - size
+    step = max(1, (1 << 20) // k)
+    for a in range(0, k, step):
+        b = min(a + step, k)
+        shared = np.zeros((b - a, k), np.float32)
+        for lo in range(0, len(often_token), 1024):
+            at = (col >= lo) & (col < lo + 1024)
+            x = np.zeros((k, 1024), np.float32)
+            x[often_row[at], col[at] - lo] = 1
+            shared += x[a:b] @ x.T
+        count = shared.astype(np.int64).ravel()
+        i, j = np.searchsorted(row, [a, b])
+        many = size[token[i:j]]
+        for p, q in slices(many, 1_000_000):
+            m = many[p:q]
+            place = np.repeat(start[token[i + p : i + q]] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+            count += np.bincount(np.repeat(row[i + p : i + q] - a, m) * k + held[place], minlength=len(count))
+        u, v = np.nonzero(9 * count.reshape(b - a, k) >= 4 * (n[a:b, None] + n))
+        later = v > u + a
+        forest.add(u[later] + a, v[later])
+    return forest.links
+
+
+def group_links(nodes: DataFrame, docs: DataFrame, text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
+    """(u, v): links that connect all pairs alike inside each group of ``nodes`` (node, h, n, comp, grp); nodes of one comp are connected."""
+    weight = F.sum(F.col("n") + F.lit(ROW))
+    groups = nodes.groupBy("grp").agg(weight.alias("held"), F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
+    parts = F.when(F.col("held") > HELD, F.ceil(F.col("held") / F.lit(HELD // 2))).otherwise(F.lit(1)).cast("int")
+    rows = staged(nodes.join(groups.select("grp", parts.alias("parts")), "grp").select("node", "h", "comp", "grp", "parts", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("own")))
+    texts = texts_of(docs, rows, text_col).join(rows, "h")
+    texts = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    texts = texts.select(F.xxhash64("grp", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node", "comp", "text")
+
+    def joined(rows: pd.DataFrame) -> pd.DataFrame:
+        node = rows["node"].to_numpy(np.int64)
+        got = np.array(set_links(rows["comp"].to_numpy(np.int64), [np.unique(shingle_hashes(t, width)) for t in rows["text"]]), np.int64).reshape(-1, 2)
+        u, v = node[got[:, 0]], node[got[:, 1]]
+        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+
+    @trimmed
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            key = pdf["key"].to_numpy(np.int64)
+            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(pdf)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):  # the last key may go on
+                if held and len(pdf) and key[a] != held[0]["key"].iloc[0]:
+                    yield joined(pd.concat(held))
+                    held = []
+                if b > a:
+                    held.append(pdf.iloc[a:b])
+        if held:
+            yield joined(pd.concat(held))
+
+    return staged(texts.repartition("key").sortWithinPartitions("key").mapInPandas(run, "u long, v long"))
 
 
 def alike_pairs(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: str = "text") -> DataFrame:
     """Those of the pairs (u, v) whose sets have a Jaccard index of 0.8 or more."""
-    some = staged(nodes.select("node", "h").join(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_semi"))
+    ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    some = staged(nodes.select("node", "h").join(ends, "node", "left_semi"))
     sets = staged(shingle_sets(docs, some, text_col))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
 
@@ -471,13 +566,18 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = prints.select(id_col, "node")
     rest = [F.first(c).alias(c) for c in ("fp", "s0", "s1", "s2", "s3", "n", "prefix")]  # equal for equal sets
     nodes = staged(prints.groupBy("node").agg(F.min(id_col).alias("low"), F.min("h").alias("h"), *rest))
-    # one link a node is checked first: most groups are known from then on, at the price of one set a node
-    one = staged(near_links(nodes).groupBy("v").agg(F.max("u").alias("u")).select("u", "v"))
-    first = alike_pairs(one, docs, nodes, text_col)
+    near = staged(near_links(nodes))
+    loose = components(near).withColumnRenamed("node", "__n")
+    now = staged(nodes.join(loose, F.col("__n") == F.col("node"), "left").select("node", "h", "n", "prefix", F.coalesce("root", "node").alias("grp")))
+    # of groups that no task holds one link a node is checked first: much of them is connected from then on
+    large = staged(now.groupBy("grp").agg(F.sum(F.col("n") + F.lit(ROW)).alias("held")).where(F.col("held") > HELD).select("grp"))
+    one = near.join(now.join(large, "grp", "left_semi").select(F.col("node").alias("v")), "v", "left_semi")
+    first = alike_pairs(staged(one.groupBy("v").agg(F.max("u").alias("u")).select("u", "v")), docs, nodes, text_col)
     known = components(first).withColumnRenamed("node", "__n")
-    now = staged(nodes.join(known, F.col("__n") == F.col("node"), "left").select("node", F.coalesce("root", "node").alias("comp"), "n", "prefix"))
-    more = alike_pairs(prefix_pairs(now), docs, nodes, text_col)
-    return _labels(rows, nodes.select("node", "low"), first.unionByName(more), id_col)
+    members = now.join(known, F.col("__n") == F.col("node"), "left").select("node", "h", "n", F.coalesce("root", "node").alias("comp"), "grp")
+    inner = group_links(members, docs, text_col)
+    more = alike_pairs(prefix_pairs(now.withColumnRenamed("grp", "comp")), docs, nodes, text_col)
+    return _labels(rows, nodes.select("node", "low"), first.unionByName(inner).unionByName(more), id_col)
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -158,3 +158,52 @@ def test_no_link_below_the_similarity(spark):
         texts.append(base)
     got, want = components_of(spark, [" ".join(t) for t in texts])
     assert got == want
+
+
+def loose_group(rng, copies, words=120, changes=8):
+    """Copies of one text of which few are alike: most pairs have a Jaccard index of some 0.5 to 0.7."""
+    base = [f"v{x}" for x in rng.integers(0, 1 << 40, words)]
+    out = []
+    for _ in range(copies):
+        copy = list(base)
+        for k in rng.choice(words, int(rng.integers(1, changes)), replace=False):
+            copy[k] = f"z{rng.integers(0, 1 << 40)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_a_loose_group_makes_no_rows_by_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    texts = loose_group(rng, 150) + loose_group(rng, 40, changes=20)
+    made = []
+    pairs = S.prefix_pairs
+    monkeypatch.setattr(S, "prefix_pairs", lambda nodes: made.append(pairs(nodes)) or made[-1])
+    got, want = components_of(spark, texts)
+    assert got == want and 1 < len(set(want.values())) < len(texts)
+    assert made[0].count() <= len(texts)
+
+
+def test_groups_over_a_tasks_share_are_dealt_out(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    texts = [t for k in range(3) for t in loose_group(rng, 60, changes=6 + 6 * k)]
+    monkeypatch.setattr(S, "HELD", 1500)
+    got, want = components_of(spark, texts)
+    assert got == want and 3 < len(set(want.values())) < len(texts)
+
+
+def test_set_links_match_brute_force(monkeypatch):
+    rng = np.random.default_rng(16)
+    for k in (1, 7, 90, 400):
+        sets = [np.unique(rng.integers(0, 40, rng.integers(0, 40)).astype(np.uint64)) for _ in range(k)]
+        comp = np.arange(k) if k < 90 else np.where(np.arange(k) < 5, 0, np.arange(k))
+        alike = lambda a, b: 9 * len(np.intersect1d(a, b)) >= 4 * (len(a) + len(b))
+        assert all(alike(sets[a], sets[b]) for a, b in S.set_links(comp, sets))
+        joined = S.Forest(k)
+        for a, b in [*S.set_links(comp, sets), *((0, i) for i in range(k) if comp[i] == 0)]:
+            joined.add(np.array([a]), np.array([b]))
+        wanted = S.Forest(k)
+        for a in range(k):
+            for b in range(a):
+                if comp[a] == comp[b] or alike(sets[a], sets[b]):
+                    wanted.add(np.array([b]), np.array([a]))
+        assert [joined.find(i) for i in range(k)] == [wanted.find(i) for i in range(k)]
