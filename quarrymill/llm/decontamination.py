@@ -1,9 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Document frequencies of hashed words, over all documents, give the TF-IDF weights.
-2. A distributed randomised SVD of the TF-IDF matrix of passages (those of a bounded sample of
-   ``fit_docs`` documents, and all items) gives ``rank`` directions, scaled to unit variance:
-   every task returns its part of A'(A X), the sum is orthonormalised on the driver.
+1. Document frequencies of hashed words, over all documents, give the TF-IDF weights. The words'
+   slots are kept in the shared folder (2 bytes a word), so that texts are read into words once.
+2. A distributed randomised SVD of the TF-IDF matrix of passages (those of all documents and all
+   items) gives ``rank`` directions, scaled to unit variance: every task returns its part of
+   A'(A X), the parts are summed in two levels, the sum is orthonormalised on the driver.
 3. Every whole text is cut into blocks of ``BLOCK`` words; windows of 2 and of 5 blocks slide
    over it block by block, and those with a cosine of ``cosine`` or more to an item are candidates.
    So is every passage (a block and the blocks around it, ``ROOM`` more to each side than the item
@@ -15,8 +16,8 @@
 Items are taken in blocks of ``ITEMS``; documents stay where they are and each is judged on
 its own, so nothing is shuffled but the statistics. Words are runs of letters and digits, A-Z
 lower-cased. Null or empty texts and items match nothing; repeated rows are each judged, and items
-that share an id are items each. Of rows that share an id the text with the smallest hash goes into
-the sample. Of passages with equally many common words the first found is reported. An empty table
+that share an id are items each. Of passages with equally many common words the first found is
+reported. An empty table
 on either side gives no matches, and ``clean`` then keeps every row.
 """
 
@@ -27,11 +28,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import bounded_sample, session, slices, trimmed
+from ._common import KEPT, session, slices, staged, trimmed
 
 SPACE = 1 << 14  # 32 - 18 bits of a word's hash
 BLOCK = 12
@@ -41,7 +43,12 @@ PART = 60
 #: Blocks to each side of a passage beyond those of the item.
 ROOM = 2
 ITEMS = 4096
-CHARS = 2_000_000
+CHARS = 1_000_000
+#: Words of a passage of the fit.
+PASSAGE = 4 * BLOCK
+#: Words whose part of A'(A X) one task returns at least, if there are cores enough for less.
+TASK_WORDS = 16_000_000
+_BLOCKS = 16
 _CLASS = np.full(256, 32, np.uint8)
 for _c in [*range(48, 58), *range(97, 123), *range(128, 256)]:
     _CLASS[_c] = _c
@@ -53,6 +60,7 @@ _VALUE = np.random.Generator(np.random.PCG64(21)).integers(1, 1 << 32, 256, dtyp
 _MUL = 0x9E3779B1
 _INVERSE = pow(_MUL, -1, 1 << 32)
 _POWERS: dict[int, np.ndarray] = {}
+KEPT.append(_POWERS)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -97,25 +105,33 @@ def cut(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first[:-1], number) + inside * size, start
 
 
-def idf(docs: DataFrame, text_col: str) -> np.ndarray:
-    """Inverse document frequencies of the hashed words, from all documents."""
+def parsed(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(n, df, slot, size) from the texts of both: per task the documents and their frequencies by slot, or the slots of words and the words of each passage."""
+    rows = docs.select(F.col("text"), F.lit(True).alias("doc")).unionByName(items.select(F.col("text"), F.lit(False).alias("doc")))
 
     @trimmed
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, n = np.zeros(SPACE, np.int64), 0
         for pdf in batches:
-            texts = pdf["text"].tolist()
+            texts, own = pdf["text"].tolist(), pdf["doc"].to_numpy(bool)
             for i, j in slices(np.array([len(t) if isinstance(t, str) else 0 for t in texts], np.int64), CHARS):
                 w = Words(texts[i:j])
                 doc = np.repeat(np.arange(j - i, dtype=np.int64), np.diff(w.first))
-                seen = np.unique(doc * SPACE + w.slot)
+                seen = np.unique((doc * SPACE + w.slot)[own[i:j][doc]])
                 total += np.bincount(seen % SPACE, minlength=SPACE)
-                n += j - i
+                n += int(own[i:j].sum())
+                at, _ = cut(w.first, PASSAGE)
+                yield pd.DataFrame({"n": [0], "df": [None], "slot": [w.slot.astype(np.uint16).tobytes()], "size": [np.diff(np.append(at, len(w.slot))).astype(np.uint8).tobytes()]})
         if n:
-            yield pd.DataFrame({"n": [n], "df": [total.tobytes()]})
+            yield pd.DataFrame({"n": [n], "df": [total.tobytes()], "slot": [None], "size": [None]})
 
-    parts = docs.select(F.col(text_col).alias("text")).mapInPandas(count, "n long, df binary")
+    return staged(rows.mapInPandas(run, "n long, df binary, slot binary, size binary"))
+
+
+def idf(words: DataFrame) -> np.ndarray:
+    """Inverse document frequencies of the hashed words, from all documents (``parsed``)."""
     # one row a task; summed in two levels, so that no task sees all of them
+    parts = words.where("df is not null").select("n", "df")
     level = parts.withColumn("g", F.pmod(F.xxhash64("df"), F.lit(64))).groupBy("g").applyInPandas(_add_counts, "n long, df binary")
     rows = level.collect()
     n = sum(r["n"] for r in rows)
@@ -127,57 +143,90 @@ def _add_counts(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"n": [int(pdf["n"].sum())], "df": [sum(np.frombuffer(x, np.int64) for x in pdf["df"]).tobytes()]})
 
 
-def passages(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of words and the passage (of ``size`` words) that each lies in."""
-    w = Words(texts)
-    at, _ = cut(w.first, size)
-    if not len(at):
-        return w.slot, np.zeros(0, np.int64)
-    return w.slot, np.repeat(np.arange(len(at)), np.diff(np.append(at, len(w.slot))))
-
-
-def gram_times(slot: np.ndarray, row: np.ndarray, weights: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """A'(A x) of the row-normalised TF-IDF matrix A with a word per (row, slot)."""
-    if not len(slot):
-        return np.zeros_like(x)
-    n = int(row[-1]) + 1
-    cell, tf = np.unique(row * SPACE + slot, return_counts=True)
-    r, s = cell // SPACE, cell % SPACE
-    value = tf * weights[s]
-    value = value / np.sqrt(np.bincount(r, weights=value**2, minlength=n))[r]
+def row_sums(y: np.ndarray, own: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct of ``own`` (sorted) and for each the sum of its rows of ``y``: eight at a time, then sums of these."""
+    while True:
+        begin = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        if len(begin) == len(own):
+            return own, y[row]
+        rank = np.arange(len(own)) - np.repeat(begin, np.diff(np.append(begin, len(own))))
+        fresh = rank & 7 == 0
+        index = np.full((8, int(fresh.sum())), len(y))
+        index[rank & 7, np.cumsum(fresh) - 1] = row
+        y = _taken(np.concatenate([y, np.zeros((1, y.shape[1]), y.dtype)]), index)
+        own, row = own[fresh], np.arange(len(y))
+
+
+def _taken(table: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """For each column of ``index`` the sum of these rows of the table."""
+    out = np.empty((index.shape[1], table.shape[1]), table.dtype)
+    for i in range(0, len(out), 256):
+        x = out[i : i + 256]
+        held = np.empty_like(x)
+        np.take(table, index[0, i : i + 256], axis=0, out=x, mode="clip")
+        for k in range(1, len(index)):
+            np.take(table, index[k, i : i + 256], axis=0, out=held, mode="clip")
+            x += held
+    return out
+
+
+def gram_times(slot: np.ndarray, size: np.ndarray, weights: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """A'(A x) of the row-normalised TF-IDF matrix A of passages of ``size`` words each, whose slots follow each other."""
     out = np.zeros_like(x)
-    start = np.concatenate(([0], np.flatnonzero(np.diff(r)) + 1))
-    y = np.add.reduceat(x[s] * value[:, None], start, axis=0)
-    order = np.argsort(s, kind="stable")
-    begin = np.concatenate(([0], np.flatnonzero(np.diff(s[order])) + 1))
-    out[s[order][begin]] = np.add.reduceat(y[r[order]] * value[order][:, None], begin, axis=0)
+    weight = np.append(weights, np.float32(0)).astype(np.float32)  # the last slot is none
+    table = weight[:, None] * np.concatenate([x, np.zeros((1, x.shape[1]), x.dtype)])
+    ends = np.cumsum(size, dtype=np.int64)
+    for i in range(0, len(size), 4096):
+        n = size[i : i + 4096].astype(np.int64)
+        inside = np.arange(int(n.max())) < n[:, None]
+        cell = np.full(inside.shape, SPACE, np.uint16)
+        cell[inside] = slot[ends[i] - n[0] : ends[i + len(n) - 1]]
+        cell.sort(axis=1)
+        index = np.ascontiguousarray(cell.T).astype(np.int64)
+        # a word's k-th occurrence adds 2 k - 1 squares: together the square of its count
+        square, times = np.zeros(len(n), np.float32), np.ones(len(n), np.float32)
+        for k in range(len(index)):
+            if k:
+                times = np.where(index[k] == index[k - 1], times + 2, np.float32(1))
+            square += times * weight[index[k]] ** 2
+        y = _taken(table, index) / square[:, None]
+        order = np.argsort(cell.ravel(), kind="stable")[: int(n.sum())]
+        own, sums = row_sums(y, cell.ravel()[order], order // cell.shape[1])
+        out[own] += sums * weight[own, None]
     return out
 
 
-def fit(docs: DataFrame, items: list[str], weights: np.ndarray, id_col: str, text_col: str, rank: int = 64, fit_docs: int = 1500, rounds: int = 2) -> np.ndarray:
-    """Word slots to latent coordinates of unit variance: randomised subspace iteration over sample passages and items."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    ids = bounded_sample(rows.select("id").withColumn("one", F.lit(1)), "id", ["one"], fit_docs).select("id")
-    sample = rows.join(F.broadcast(ids), "id").groupBy("id").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")).select("text")
-    size = BLOCK * 4
+def fit(words: DataFrame, weights: np.ndarray, rank: int = 64, rounds: int = 2) -> np.ndarray:
+    """Word slots to latent coordinates of unit variance: randomised subspace iteration over all passages (``parsed``)."""
+    rows = words.where("slot is not null").select("slot", "size")
+    spark = session(words)
+    number = rows.agg(F.coalesce(F.sum(F.length("slot")), F.lit(0))).first()[0] // 2
+    # each task's part goes through a shuffle: on many small files fewer tasks run
+    rows = rows.coalesce(max(spark.sparkContext.defaultParallelism, -(-number // TASK_WORDS)))
     x = np.random.default_rng(11).normal(size=(SPACE, rank)).astype(np.float32)
-    own = passages(items, size)
-    spectrum = np.ones(rank)
+    kind = "part int, g int, task int, z binary"
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(z, np.float32).astype(np.float64) for z in pdf.sort_values("task")["z"])
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "g": 0, "task": pdf["g"].iloc[0], "z": [total.astype(np.float32).tobytes()]})
+
     for k in range(rounds + 1):
-        shared = session(docs).sparkContext.broadcast(x)
+        shared = spark.sparkContext.broadcast(x)
 
         @trimmed
         def part(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            total = None
+            total, task = None, TaskContext.get().partitionId()
             for pdf in batches:
-                got = gram_times(*passages(pdf["text"].tolist(), size), weights, shared.value)
-                total = got if total is None else total + got
-            if total is not None:
-                yield pd.DataFrame({"z": [total.astype(np.float32).tobytes()]})
-
-        z = gram_times(*own, weights, x).astype(np.float64)
-        for r in sample.coalesce(8).mapInPandas(part, "z binary").toLocalIterator():
-            z += np.frombuffer(r["z"], np.float32).reshape(SPACE, rank)
+                got = gram_times(np.frombuffer(b"".join(pdf["slot"]), np.uint16), np.frombuffer(b"".join(pdf["size"]), np.uint8), weights, shared.value)
+                total = got if total is None else np.add(total, got, out=total)
+            for b, z in enumerate(np.split(total, _BLOCKS) if total is not None else ()):
+                yield pd.DataFrame({"part": [b], "g": [task % 64], "task": [task], "z": [z.tobytes()]})
+
+        z = np.zeros((SPACE, rank))
+        step = SPACE // _BLOCKS
+        level = rows.mapInPandas(part, kind).groupBy("part", "g").applyInPandas(add, kind)
+        for r in level.groupBy("part").applyInPandas(add, kind).toLocalIterator():
+            z[r["part"] * step : (r["part"] + 1) * step] = np.frombuffer(r["z"], np.float32).reshape(step, rank)
         if k < rounds:
             x = np.linalg.qr(z)[0].astype(np.float32)
         else:  # x is orthonormal, z = A'A x: rotate to the singular directions
@@ -259,19 +308,22 @@ class Index:
             parts.append(np.stack([blocks[a:b].sum(0) for a, b in zip(short.tolist(), ends.tolist(), strict=True)]))
         return np.concatenate([whole, short]), np.concatenate(parts)
 
-    def sharing(self, hashes: np.ndarray, at: np.ndarray, start: np.ndarray, text_of: np.ndarray) -> dict[tuple[int, int], list[list[int]]]:
-        """For (text, item) the ranges (first, last) of blocks whose passages hold enough of the item's rare words."""
+    def rare_places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, place) of all rare words of items, by item, then place."""
         place = np.flatnonzero(self.maybe[hashes >> np.uint32(12)])
         if not len(place):
-            return {}
+            return np.zeros(0, np.int64), place
         word = np.minimum(np.searchsorted(self.rare, hashes[place]), len(self.rare) - 1)
         same = self.rare[word] == hashes[place]
         place, word = place[same], word[same]
         size = self.rare_first[word + 1] - self.rare_first[word]
         owner = self.rare_owner[np.repeat(self.rare_first[word], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
-        block = np.repeat(np.searchsorted(at, place, side="right") - 1, size)
         order = np.argsort(owner, kind="stable")
-        owner, block = owner[order], block[order]
+        return owner[order], np.repeat(place, size)[order]
+
+    def sharing(self, owner: np.ndarray, place: np.ndarray, at: np.ndarray, start: np.ndarray, text_of: np.ndarray) -> dict[tuple[int, int], list[list[int]]]:
+        """For (text, item) the ranges (first, last) of blocks whose passages hold enough of the item's ``rare_places``."""
+        block = np.searchsorted(at, place, side="right") - 1
         i = np.arange(len(owner))
         j = i + self.least[owner] - 1
         i, j = i[j < len(owner)], j[j < len(owner)]
@@ -289,6 +341,32 @@ class Index:
                 held.append([a, z])
         return out
 
+    def runs(self, hits: list[tuple], rare: np.ndarray, ends: np.ndarray, start: np.ndarray) -> dict[tuple[int, int], list[tuple[float, int, int]]]:
+        """For (text, item) the runs (cosine, first block, end) of overlapping windows that can hold the item.
+
+        Windows of one match overlap: neighbours are one passage. It can match only if, with room for the whole
+        item, it has ``least`` of the item's rare words (``rare``: item and place of each, as one number).
+        """
+        if not sum(len(x[0]) for x in hits):
+            return {}
+        text, item, first, end, cosine = (np.concatenate(x) for x in zip(*hits, strict=True))
+        order = np.lexsort((first, item, text))
+        text, item, first, end, cosine = (x[order] for x in (text, item, first, end, cosine))
+        fresh = np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1])))
+        lift = np.cumsum(fresh) * len(ends)
+        reach = np.maximum.accumulate(end + lift)
+        fresh[1:] |= (first + lift)[1:] > reach[:-1]
+        at = np.flatnonzero(fresh)
+        text, item, first, end, cosine = text[at], item[at], first[at], np.maximum.reduceat(end, at), np.maximum.reduceat(cosine, at)
+        more = self.room[item] - ROOM
+        low, high = ends[np.maximum(first - more, start[text])], ends[np.minimum(end + more, start[text + 1])]
+        held = np.searchsorted(rare, item * (ends[-1] + 1) + high) - np.searchsorted(rare, item * (ends[-1] + 1) + low)
+        good = held >= self.least[item]
+        out: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+        for t, q, c, b, e in zip(*(x[good].tolist() for x in (text, item, cosine, first, end)), strict=True):
+            out.setdefault((t, q), []).append((c, b, e))
+        return out
+
     def nearest(self, q: int, blocks: np.ndarray) -> float:
         """The highest cosine of an item's parts to the windows of some blocks."""
         query = self.queries[:, self.owners == q]
@@ -303,42 +381,28 @@ class Index:
         if not len(at):
             return []
         ends = np.append(at, len(w.slot))
-        place = at[:, None] + np.arange(BLOCK)
-        slot = np.where(place < ends[1:, None], w.slot[np.minimum(place, len(w.slot) - 1)], SPACE)  # the last row is zero
-        blocks = np.empty((len(at), self.table.shape[1]), np.float32)
-        for i in range(0, len(at), 2048):
-            x = self.table[slot[i : i + 2048, 0]]
-            for k in range(1, BLOCK):
-                x += self.table[slot[i : i + 2048, k]]
-            blocks[i : i + 2048] = x
+        place = at + np.arange(BLOCK)[:, None]
+        blocks = _taken(self.table, np.where(place < ends[1:], w.slot[np.minimum(place, len(w.slot) - 1)], SPACE))  # the last row is zero
         text_of = np.repeat(np.arange(len(texts)), np.diff(start))
-        best: dict[tuple[int, int], list] = {}
+        hits = []
         for scale in SCALES if len(self.owners) else ():
             own, x = self.windows(blocks, start, scale)
             norm = np.sqrt(np.einsum("ij,ij->i", x, x)) + np.float32(1e-9)
             for i in range(0, len(own), 4096):
                 s = x[i : i + 4096] @ self.queries
                 hit, part = np.divmod(np.flatnonzero(s >= (self.cosine * norm[i : i + 4096])[:, None]), s.shape[1])
-                block, item = own[i + hit], self.owners[part]
-                stop = np.minimum(block + scale, start[text_of[block] + 1])
-                for t, q, c, b, e in zip(text_of[block].tolist(), item.tolist(), (s[hit, part] / norm[i + hit]).tolist(), block.tolist(), stop.tolist(), strict=True):
-                    best.setdefault((t, q), []).append((c, b, e))
+                block = own[i + hit]
+                hits.append((text_of[block], self.owners[part], block, np.minimum(block + scale, start[text_of[block] + 1]), s[hit, part] / norm[i + hit]))
+        owner, place = self.rare_places(w.hashes)
+        best = self.runs(hits, owner * (len(w.slot) + 1) + place, ends, start)
         out = []
         hashes = None
-        shared = self.sharing(w.hashes, at, start, text_of)
+        shared = self.sharing(owner, place, at, start, text_of)
         for t, q in best | shared:
-            windows = best.get((t, q), [])
+            runs = best.get((t, q), [])
             words = self.words[q]
             need = self.overlap * len(words)
             found = None
-            # windows of one match overlap: neighbours are judged as one passage, then with room for the whole item
-            windows.sort(key=lambda x: x[1])
-            runs: list[list] = []
-            for c, b, e in windows:
-                if runs and b <= runs[-1][2]:
-                    runs[-1] = [max(c, runs[-1][0]), runs[-1][1], max(e, runs[-1][2])]
-                else:
-                    runs.append([c, b, e])
             more = -(-len(words) // BLOCK)
             hashes = w.hashes.tolist() if hashes is None else hashes
             for c, b, e in sorted(runs, reverse=True):
@@ -371,8 +435,6 @@ class Index:
 
 def indexes(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_id: str, item_text: str, cosine: float, overlap: float, answer: float) -> list[Index]:
     """One index for each block of items."""
-    session(docs)
-    weights = idf(docs, text_col)
     rows = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("t is not null").distinct()
     out, held = [], []
     for r in rows.orderBy("i", "t").toLocalIterator():
@@ -381,7 +443,12 @@ def indexes(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_
             out.append(held)
             held = []
     out += [held] if held else []
-    return [Index([r["i"] for r in b], [r["t"] for r in b], fit(docs, [r["t"] for r in b], weights, id_col, text_col), weights, cosine, overlap, answer) for b in out]
+    if not out:
+        return []
+    words = parsed(docs.select(F.col(text_col).alias("text")), rows.select(F.col("t").alias("text")))
+    weights = idf(words)
+    table = fit(words, weights)
+    return [Index([r["i"] for r in b], [r["t"] for r in b], table, weights, cosine, overlap, answer) for b in out]
 
 
 def _judged(texts: list[str | None], index: Index) -> Iterator[tuple[int, int, float, int, float]]:

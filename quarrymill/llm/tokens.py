@@ -16,7 +16,7 @@ import unicodedata
 
 import numpy as np
 
-from ._common import _P, _PINV, _powers, code_points, slices
+from ._common import _P, _PINV, KEPT, _powers, code_points, slices
 
 #: Entries of a worker's table of pieces, and the ids that it holds before it starts anew.
 TABLE, POOL = 1 << 20, 6_000_000
@@ -24,6 +24,7 @@ TABLE, POOL = 1 << 20, 6_000_000
 PLAIN = 0x250
 _LETTER, _NUMBER, _OTHER, _SPACE, _ODD = range(5)
 _OPEN: dict[str, Encoder] = {}
+KEPT.append(_OPEN)
 
 
 def classes() -> np.ndarray:

@@ -58,3 +58,13 @@ def test_scratch_folder_is_refused_on_a_cluster_and_discarded(spark):
     C.discard(spark)
     assert not os.path.exists(path) and not C._MADE
     C._MADE[:] = held
+
+
+def test_a_worker_keeps_tables_of_one_module_alone():
+    C._powers(C._P, 10)
+    C.kept_by("a")
+    C._powers(C._P, 10)
+    C.kept_by("a")
+    assert C._POWERS
+    C.kept_by("b")
+    assert not C._POWERS

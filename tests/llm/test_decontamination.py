@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from quarrymill.llm import decontamination as D
 
 from .fixtures import frame, rows
@@ -72,3 +74,67 @@ def test_reworded_items_are_found_down_to_the_overlap(spark):
     got = {(r["doc_id"], r["item_id"]): r for r in D.matches(frame(spark, pairs), bench).collect()}
     assert accepted <= set(got)
     assert all(r["common_words"] >= 0.65 * r["item_words"] and -1.01 <= r["cosine"] <= 1.01 for r in got.values())
+
+
+def test_the_space_is_that_of_all_documents(spark):
+    rng = random.Random(21)
+    vocab = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choice(vocab[: 20 + k % 280]) for _ in range(rng.randint(1, 120))) for k in range(1800)] + [None, "", " , "]
+    items = [" ".join(rng.choice(vocab) for _ in range(30)) for _ in range(5)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    words = D.parsed(docs, spark.createDataFrame([(t,) for t in items], "text string"))
+    weights = D.idf(words)
+    df = np.zeros(D.SPACE)
+    rows = []
+    for k, t in enumerate([*texts, *items]):
+        slot = D.Words([t]).slot
+        if k < len(texts):
+            df[np.unique(slot)] += 1
+        rows += [np.bincount(slot[i : i + 48], minlength=D.SPACE) for i in range(0, len(slot), 48)]
+    assert np.allclose(weights, np.log((len(texts) + 1) / (df + 1)) + 0.01, atol=1e-5)
+    used = np.flatnonzero(np.sum(rows, axis=0))
+    a = np.array(rows)[:, used] * weights[used]
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    x = np.random.default_rng(11).normal(size=(D.SPACE, 64)).astype(np.float32)
+    own = D.gram_times(np.concatenate([np.repeat(np.arange(D.SPACE), r) for r in rows]), np.array([r.sum() for r in rows]), weights, x)
+    assert np.allclose(own[used], a.T @ (a @ x[used]), rtol=1e-3, atol=1e-3) and not np.delete(own, used, axis=0).any()
+    x = x[used]
+    for _ in range(2):
+        x = np.linalg.qr(a.T @ (a @ x))[0]
+    value, turn = np.linalg.eigh(x.T @ (a.T @ (a @ x)))
+    want = x @ turn / np.sqrt(value) * weights[used, None]
+    got = D.fit(words, weights)
+    assert np.allclose(got[used] @ got[used].T, want @ want.T, rtol=2e-2, atol=2e-2 * np.abs(want @ want.T).max())
+    assert np.abs(np.delete(got, used, axis=0)).max() < 1e-9
+
+
+class AllRuns(D.Index):
+    """Every run of windows near an item is judged."""
+
+    def runs(self, *x):
+        least, self.least = self.least, np.zeros_like(self.least)
+        try:
+            return super().runs(*x)
+        finally:
+            self.least = least
+
+
+def test_runs_left_out_hold_no_item():
+    rng = random.Random(22)
+    vocab = [f"w{k}" for k in range(400)]
+    items = [" ".join(rng.choice(vocab) for _ in range(n)) for n in (1, 13, 40, 70, 100)]
+    texts = []
+    for _ in range(120):
+        t = [rng.choice(vocab) for _ in range(rng.randint(0, 300))]
+        w = rng.choice(items).split()
+        at = rng.randint(0, len(t))
+        t[at:at] = [x for v in w for x in ([v] if rng.random() < 0.75 else [rng.choice(vocab), v][: rng.randint(0, 2)])]
+        texts.append(" ".join(t))
+    weights = np.full(D.SPACE, 1, np.float32)
+    table = np.random.default_rng(3).normal(size=(D.SPACE, 64)).astype(np.float32)
+    args = list(range(5)), items, table, weights, 0.3, 0.65, 0.5
+    got = D.Index(*args).judge(texts)
+    assert sorted(got) == sorted(AllRuns(*args).judge(texts)) and len(got) > 40
+    for t, q, _, n, _ in got:
+        words = items[q].split()
+        assert 0.65 * len(words) <= n <= lcs(words, texts[t].split())
