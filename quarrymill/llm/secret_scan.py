@@ -2,7 +2,8 @@
 
 Three fixed patterns give the base spans. Beyond them, runs of token characters are compared
 under two character Markov models, one of random strings and one of ordinary identifiers. Both
-are bigram counts from labelled samples (token, label: 1 random, 0 ordinary). A run is marked if
+are bigram counts from labelled samples (token, label: 1 random, 0 ordinary; ``default_samples``
+takes the words of all texts). A run is marked if
 its log-likelihood ratio reaches ``MIN_RATIO`` in all and ``MIN_MEAN`` a pair of characters, so that
 neither a long ordinary run nor a short odd one passes. Numbers, dates, paths, version strings,
 UUIDs and repeated characters count as ordinary: what they hold is no key. Shorter runs of hex
@@ -21,7 +22,6 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import bounded_sample
 from .quality_rules import let
 
 # The base patterns and the least lengths of their matches.
@@ -62,7 +62,10 @@ def find(text: Column, pattern: str) -> Column:
 
 
 def default_samples(docs: DataFrame, id_col: str, text_col: str, n_each: int = 1500, max_docs: int = 500) -> DataFrame:
-    """(token, label): generated keys as random strings; composed names, paths, numbers and the like, and words of at most ``max_docs`` texts, as ordinary ones."""
+    """(token, label, n, weight): generated keys as random strings; composed names, paths, numbers and the like, and the words of all texts, as ordinary ones.
+
+    A token counts n times ``weight``. The words together weigh as those of ``max_docs`` average texts, if there are more.
+    """
     spark: SparkSession = docs.sparkSession
     key = F.sha2(F.concat(F.lit("sample"), F.col("id").cast("string")), 256)
     base64 = F.regexp_replace(F.base64(F.unhex(key)), "=", "")
@@ -88,11 +91,12 @@ def default_samples(docs: DataFrame, id_col: str, text_col: str, n_each: int = 1
     ]
     made = [(t, 1) for t in random] + [(t, 0) for t in ordinary]
     names = spark.range(n_each).select(F.explode(F.array(*[F.struct(t.alias("token"), F.lit(y).alias("label")) for t, y in made])).alias("x")).select("x.token", "x.label")
-    ids = bounded_sample(docs.select(F.col(id_col).alias("id")).withColumn("one", F.lit(1)), "id", ["one"], max_docs).select("id")
-    text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null").join(F.broadcast(ids), "id")
+    text = docs.select(F.col(text_col).alias("text")).where("text is not null")
+    share = min(1.0, max_docs / max(text.count(), 1))
     clean = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
-    words = text.select(F.explode(F.regexp_extract_all(clean, F.lit("[A-Za-z]{4,}"), F.lit(0))).alias("t"))
-    words = words.select(F.explode(F.array(F.struct(F.col("t").alias("token"), F.lit(0).alias("label")), F.struct(F.upper("t").alias("token"), F.lit(0).alias("label")))).alias("x")).select("x.token", "x.label")
+    words = text.select(F.explode(F.regexp_extract_all(clean, F.lit("[A-Za-z]{4,}"), F.lit(0))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+    words = words.select(F.explode(F.array(F.struct(F.col("t").alias("token"), F.lit(0).alias("label"), "n"), F.struct(F.upper("t").alias("token"), F.lit(0).alias("label"), "n"))).alias("x")).select("x.token", "x.label", "x.n", F.lit(share).alias("weight"))
+    names = names.select("token", "label", F.lit(1).cast("long").alias("n"), F.lit(1.0).alias("weight"))
     return names.unionByName(words)
 
 
@@ -101,12 +105,13 @@ def _code(text: Column, at: Column) -> Column:
 
 
 def train(samples: DataFrame, smooth: float = 0.5) -> list[float]:
-    """Log-likelihood ratio of each pair of characters: random over ordinary, from bigram counts of labelled samples."""
-    clean = samples.select(F.col("label").cast("int").alias("label"), F.explode(F.regexp_extract_all(F.col("token"), F.lit("[A-Za-z0-9+/_=-]{2,}"), F.lit(0))).alias("t"))
-    pairs = clean.select("label", F.explode(F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: _code(F.col("t"), i) * CODES + _code(F.col("t"), i + 1))).alias("pair"))
+    """Log-likelihood ratio of each pair of characters: random over ordinary, from bigram counts of labelled samples (each n times weight, if there are such columns)."""
+    n, weight = (F.col(c) if c in samples.columns else F.lit(1) for c in ("n", "weight"))
+    clean = samples.select(F.col("label").cast("int").alias("label"), n.cast("long").alias("n"), weight.cast("double").alias("weight"), F.explode(F.regexp_extract_all(F.col("token"), F.lit("[A-Za-z0-9+/_=-]{2,}"), F.lit(0))).alias("t"))
+    pairs = clean.select("label", "n", "weight", F.explode(F.transform(F.sequence(F.lit(1), F.length("t") - 1), lambda i: _code(F.col("t"), i) * CODES + _code(F.col("t"), i + 1))).alias("pair"))
     counts = [[smooth] * (CODES * CODES) for _ in range(2)]
-    for label, pair, n in pairs.groupBy("label", "pair").count().collect():  # two alphabets squared at most
-        counts[label][pair] += n
+    for label, pair, weight, n in sorted(pairs.groupBy("label", "pair", "weight").agg(F.sum("n")).collect()):  # an alphabet squared for each weight and label at most
+        counts[label][pair] += weight * n
     table = []
     for a in range(CODES):
         rows = [c[a * CODES : (a + 1) * CODES] for c in counts]

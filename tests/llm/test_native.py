@@ -115,3 +115,12 @@ def test_spans_match_brute_force(spark):
     assert clean[3000] == "[SECRET]" and clean[3010].startswith("key [SECRET] here thereshand") and clean[7] == rows()[7][1]
     assert "deadbeefdead" not in clean[4000]
     assert S.scan(frame(spark, []), table).count() == 0
+
+
+def test_ordinary_words_come_from_all_texts(spark):
+    docs = spark.createDataFrame([(i, f"same word{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100]}") for i in range(900)] + [(1000, None)], "doc_id long, text string")
+    got = {r["token"]: (r["n"], r["weight"]) for r in S.default_samples(docs, "doc_id", "text", n_each=0).collect()}
+    assert len(got) == 2 * 901 and got["same"] == got["SAME"] == (900, 500 / 900) and got["wordaba"] == (1, 500 / 900)
+    twice = spark.createDataFrame([("ab", 0, 4, 0.5), ("cd", 1, 1, 1.0)], "token string, label int, n long, weight double")
+    once = spark.createDataFrame([("ab", 0), ("ab", 0), ("cd", 1)], "token string, label int")
+    assert S.train(twice) == S.train(once)
