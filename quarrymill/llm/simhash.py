@@ -20,8 +20,10 @@ Two forms:
   are a little less alike become rows by pairs. A group over ``HELD`` shingles is dealt out as pairs
   of parts, after one link a node was checked; where these connect all of it, it isn't compared.
   Links between groups come from prefixes: with all shingles in one order, sets of that similarity
-  share one of their first n - 0.8 n + 1, and as many as what follows these can't make up for.
-  Shingles that many texts hold come last in the order.
+  share one of their first n - 0.8 n + 1. Shingles that many texts hold come last in the order. Texts of
+  different groups that meet under such a shingle are compared by parity bits of their sets, which
+  bound the shingles that are in one set alone from below. What the bound lets through isn't
+  returned by pairs either: a forest of it makes groups of its own, compared like the others.
 
 Null text counts as empty: fingerprint zero, linked like any other. Rows with a null id take
 part in links; a component's id is its smallest non-null id. Repeated rows keep their rows. An empty
@@ -55,6 +57,9 @@ HELD, ROW = 1_000_000, 50
 #: Shingles in the prefixes of more rows than this come last in the order, the most frequent ``LAST`` of them.
 #: Both decide the work alone, not the links found.
 COMMON, LAST = 50, 1_000_000
+#: Powers of two of a set's parity bits, at least and at most, and rows that a task compares by them at once.
+#: They decide the work alone, not the links found.
+BITS, MET = (8, 15), 20_000
 
 
 def shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -292,7 +297,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = staged(edges.distinct())
     mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     seen = mark(now)
-    while True:
+    while seen[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").where("u <> v").distinct()
@@ -332,6 +337,17 @@ def in_order(shingles: np.ndarray, last: np.ndarray) -> np.ndarray:
     return shingles[: n - (4 * n + 4) // 5 + 1 if n else 0]
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """A set's bits, in words, about one a shingle: a bit is 1 if an odd number of shingles falls on it.
+
+    Two sets' bits differ in no more places than shingles are in one of the sets alone; so do both
+    halves of the bits laid over each other by XOR, the bits of half the length.
+    """
+    bits = 1 << min(max((len(shingles) - 1).bit_length(), BITS[0]), BITS[1])
+    held = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((held & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def common_shingles(docs: DataFrame, text_col: str = "text", width: int = NEAR_WIDTH) -> np.ndarray:
     """Shingles in the prefixes (by hash alone) of more than ``COMMON`` rows, sorted; the ``LAST`` most frequent of them."""
     session(docs)
@@ -350,7 +366,7 @@ def common_shingles(docs: DataFrame, text_col: str = "text", width: int = NEAR_W
 
 
 def near_fingerprints(docs: DataFrame, last: np.ndarray, id_col: str = "doc_id", text_col: str = "text", width: int = NEAR_WIDTH) -> DataFrame:
-    """``id_col``, h (hash of the text), node (of the set of its shingles), fp of the distinct words, s0 to s3, the 256 bits of the shingles, n of the set and its prefix."""
+    """``id_col``, h (hash of the text), node (of the set of its shingles), fp of the distinct words, s0 to s3, the 256 bits of the shingles, n of the set, its prefix and its parity bits."""
     shared = session(docs).sparkContext.broadcast(last)
     rows = docs.select(F.col(id_col), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     words = ["fp", "s0", "s1", "s2", "s3"]
@@ -361,19 +377,20 @@ def near_fingerprints(docs: DataFrame, last: np.ndarray, id_col: str = "doc_id",
         for pdf in batches:
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
             out = np.zeros((len(texts), 5), np.uint64)
-            sets: list[tuple[int, int, bytes]] = []
+            sets: list[tuple[int, int, bytes, bytes]] = []
             for i, j in slices(np.array([len(t) for t in texts], np.int64), 2 * BATCH_CHARS):
                 out[i:j, 0] = majority([word_hashes(t) for t in texts[i:j]])
                 h = [shingle_hashes(t, width) for t in texts[i:j]]
                 for k in range(4):
                     out[i:j, k + 1] = majority([spread(x, k) for x in h])
                 for x in map(np.unique, h):
-                    sets.append((xxhash.xxh64_intdigest(x.tobytes(), SEED) - (1 << 63), len(x), in_order(x, last).tobytes()))
+                    sets.append((xxhash.xxh64_intdigest(x.tobytes(), SEED) - (1 << 63), len(x), in_order(x, last).tobytes(), parity(x).tobytes()))
             found = pd.DataFrame(out.view(np.int64), columns=words).assign(h=pdf["h"].to_numpy(), **{id_col: pdf[id_col].to_numpy()})
-            found["node"], found["n"], found["prefix"] = [np.array([x[0] for x in sets], np.int64), np.array([x[1] for x in sets], np.int32), [x[2] for x in sets]]
-            yield found[[id_col, "h", "node", *words, "n", "prefix"]]
+            found["node"], found["n"] = np.array([x[0] for x in sets], np.int64), np.array([x[1] for x in sets], np.int32)
+            found["prefix"], found["bits"] = [x[2] for x in sets], [x[3] for x in sets]
+            yield found[[id_col, "h", "node", *words, "n", "prefix", "bits"]]
 
-    return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, h long, node long, fp long, s0 long, s1 long, s2 long, s3 long, n int, prefix binary")
+    return rows.mapInPandas(run, f"`{id_col}` {dict(rows.dtypes)[id_col]}, h long, node long, fp long, s0 long, s1 long, s2 long, s3 long, n int, prefix binary, bits binary")
 
 
 def tokens(nodes: DataFrame) -> DataFrame:
@@ -391,10 +408,24 @@ def tokens(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "comp", "n", "prefix").mapInPandas(run, "node long, comp long, n int, pos int, key long")
 
 
-def _meeting(rows: np.ndarray) -> Iterator[pd.DataFrame]:
-    """(u, v, c, need) of rows (key, node, comp, n, pos) of different components that can have the similarity.
+def _partners(key: np.ndarray, comp: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs of rows (sorted by key, then n) of one key and two components whose sizes allow the similarity, in steps."""
+    bucket = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))[: len(key)]
+    end = np.searchsorted((bucket << 36) + n, (bucket << 36) + 5 * n // 4, side="right")
+    size = end - np.arange(len(key)) - 1
+    for i, j in slices(size, 1_000_000):
+        for a in range(0, int(size[i:j].max(initial=0)), 1_000_000):  # one row with many others: in steps
+            m = np.clip(size[i:j] - a, 0, 1_000_000)
+            u = np.repeat(np.arange(i, j), m)
+            v = u + 1 + a + np.arange(len(u)) - np.repeat(np.cumsum(m) - m, m)
+            apart = comp[u] != comp[v]
+            yield u[apart], v[apart]
+
+
+def _meeting(rows: np.ndarray) -> pd.DataFrame:
+    """(key, node) of rows (key, node, comp, n, pos) that have a partner: a row of their key, of another component, that can have the similarity.
 
-    c: how many keys they meet under; need: with fewer the shingles after both prefixes can't make up for it.
+    Keys under which the same nodes have partners become one, made of these nodes.
     """
     rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 0]))]
     # shingles that one component alone holds go first: its nodes need not be compared
@@ -404,42 +435,89 @@ def _meeting(rows: np.ndarray) -> Iterator[pd.DataFrame]:
     rows = rows[np.repeat(comp[begin] != comp[end - 1], end - begin)] if len(rows) else rows
     rows = rows[np.lexsort((rows[:, 3], rows[:, 0]))]
     key, node, comp, n, pos = rows.T
-    bucket = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))[: len(rows)]
-    end = np.searchsorted((bucket << 36) + n, (bucket << 36) + 5 * n // 4, side="right")
-    size = end - np.arange(len(rows)) - 1
-    rest = (4 * n + 4) // 5 - 1
-    for i, j in slices(size, 1_000_000):
-        for a in range(0, int(size[i:j].max(initial=0)), 1_000_000):  # one row with many others: in steps
-            m = np.clip(size[i:j] - a, 0, 1_000_000)
-            u = np.repeat(np.arange(i, j), m)
-            v = u + 1 + a + np.arange(len(u)) - np.repeat(np.cumsum(m) - m, m)
-            # of the shared shingles no more than these stand before, at and after this one
-            most = np.minimum(pos[u], pos[v]) + np.minimum(n[u] - pos[u], n[v] - pos[v])
-            good = (comp[u] != comp[v]) & (9 * most >= 4 * (n[u] + n[v]))
-            u, v = u[good], v[good]
-            x, y = node[u], node[v]
-            need = -(-4 * (n[u] + n[v]) // 9) - np.maximum(rest[u], rest[v])
-            found = pd.DataFrame({"u": np.minimum(x, y), "v": np.maximum(x, y), "need": need})
-            yield found.groupby(["u", "v"], as_index=False).agg(c=("need", "size"), need=("need", "first"))[["u", "v", "c", "need"]]
+    met = np.zeros(len(rows), bool)
+    for u, v in _partners(key, comp, n):
+        # of the shared shingles no more than these stand before, at and after this one
+        most = np.minimum(pos[u], pos[v]) + np.minimum(n[u] - pos[u], n[v] - pos[v])
+        good = 9 * most >= 4 * (n[u] + n[v])
+        met[u[good]] = met[v[good]] = True
+    key, node = key[met], node[met]
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[: len(key)])
+    if len(begin):
+        with np.errstate(over="ignore"):
+            nodes = np.add.reduceat(spread(node.view(np.uint64), 1), begin)
+        key = np.repeat(nodes, np.diff(np.append(begin, len(key)))).view(np.int64)
+    return pd.DataFrame({"key": key, "node": node}).drop_duplicates()
+
+
+def bit_links(rows: pd.DataFrame) -> pd.DataFrame:
+    """(u, v): links that connect all pairs of nodes of rows (key, node, comp, n, bits) of one key and two components whose bits allow the similarity."""
+    rows = rows.sort_values(["key", "n"])
+    key, comp, n = (rows[c].to_numpy(np.int64) for c in ("key", "comp", "n"))
+    name, first, node = np.unique(rows["node"].to_numpy(np.int64), return_index=True, return_inverse=True)
+    forest = Forest(len(name))
+    bits = rows["bits"].to_numpy()[first]
+    width = np.array([len(x) // 8 for x in bits], np.int64)
+    words = lambda at, w: np.frombuffer(b"".join(bits[at]), np.uint64).reshape(-1, w)
+    tables = {}
+    for w in np.unique(width).tolist():  # of two sets that can be alike the larger has as many bits or twice as many
+        own, twice = np.flatnonzero(width == w), np.flatnonzero(width == 2 * w)
+        place = np.zeros(len(name), np.int64)
+        place[own], place[twice] = np.arange(len(own)), len(own) + np.arange(len(twice))
+        more = words(twice, 2 * w)
+        tables[w] = place, np.concatenate([words(own, w), more[:, :w] ^ more[:, w:]])
+    for i, j in _partners(key, comp, n):
+        a, b, most = node[i], node[j], (n[i] + n[j]) // 9
+        for w, (place, table) in tables.items():
+            at = np.flatnonzero(width[a] == w)
+            for k in range(0, len(at), FRONTIER // 4):  # some of the bits first
+                u, v, m = (x[at[k : k + FRONTIER // 4]] for x in (a, b, most))
+                near = (forest.root[u] != forest.root[v]) & (np.bitwise_count(table[place[u], :4] ^ table[place[v], :4]).sum(axis=1, dtype=np.int64) <= m)
+                u, v, m = u[near], v[near], m[near]
+                for lo in range(0, len(u), 1 + (1 << 20) // w):
+                    x, y, z = (c[lo : lo + 1 + (1 << 20) // w] for c in (u, v, m))
+                    near = np.bitwise_count(table[place[x]] ^ table[place[y]]).sum(axis=1, dtype=np.int64) <= z
+                    forest.add(x[near], y[near])
+    got = np.array(forest.links, np.int64).reshape(-1, 2)
+    u, v = name[got[:, 0]], name[got[:, 1]]
+    return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
 
 
 def prefix_pairs(nodes: DataFrame) -> DataFrame:
-    """(u, v): all pairs of ``nodes`` (node, comp, n, prefix) of different components whose sets can have the similarity."""
+    """(u, v): links that connect all pairs of ``nodes`` (node, comp, n, prefix, bits) of different components whose sets can have the similarity.
+
+    Neither step makes rows by pairs: the first keeps rows of the prefixes, the second returns a forest a task.
+    """
     cols = ["node", "comp", "n", "pos"]
 
     @trimmed
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.zeros((0, 5), np.int64)
         for pdf in batches:
             held = np.concatenate([held, pdf.to_numpy(np.int64)])
             last = int(np.searchsorted(held[:, 0], held[-1, 0])) if len(held) else 0  # the last key may go on
             if last >= 100_000:
-                yield from _meeting(held[:last])
+                yield _meeting(held[:last])
                 held = held[last:]
-        yield from _meeting(held)
+        yield _meeting(held)
+
+    @trimmed
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for pdf in batches:
+            held.append(pdf)
+            if sum(map(len, held)) >= MET:
+                rows = pd.concat(held)
+                last = int(np.searchsorted(rows["key"].to_numpy(), rows["key"].iloc[-1]))  # the last key may go on
+                if last >= MET:
+                    yield bit_links(rows[:last])
+                held = [rows[last:] if last >= MET else rows]
+        if held:
+            yield bit_links(pd.concat(held))
 
-    met = dealt(tokens(nodes), cols).select("key", *cols).mapInPandas(run, "u long, v long, c long, need long")
-    return staged(met.groupBy("u", "v").agg(F.sum("c").alias("c"), F.max("need").alias("need")).where("c >= need").select("u", "v"))
+    met = staged(dealt(tokens(nodes), cols).select("key", *cols).mapInPandas(meet, "key long, node long").distinct())
+    rows = met.join(nodes.select("node", "comp", "n", "bits").hint("shuffle_merge"), "node").select("key", "node", "comp", "n", "bits")
+    return staged(rows.repartition("key").sortWithinPartitions("key").mapInPandas(run, "u long, v long"))
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, text_col: str = "text") -> DataFrame:
@@ -560,24 +638,35 @@ def alike_pairs(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, text_col: s
     return staged(both.select("u", "v", "a", "b").mapInPandas(run, "u long, v long"))
 
 
+def grouped(nodes: DataFrame, loose: DataFrame) -> DataFrame:
+    """``nodes`` with grp, their component by the links ``loose`` (u, v)."""
+    found = components(loose).withColumnRenamed("node", "__n")
+    return staged(nodes.join(found, F.col("__n") == F.col("node"), "left").select(*nodes.columns, F.coalesce("root", "node").alias("grp")))
+
+
+def alike_inside(now: DataFrame, loose: DataFrame, docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(u, v): links that connect all pairs alike inside each group of ``now`` (node, h, n, grp), made by the links ``loose``."""
+    # of groups that no task holds one link a node is checked first: much of them is connected from then on
+    large = staged(now.groupBy("grp").agg(F.sum(F.col("n") + F.lit(ROW)).alias("held")).where(F.col("held") > HELD).select("grp"))
+    one = loose.join(now.join(large, "grp", "left_semi").select(F.col("node").alias("v")), "v", "left_semi")
+    first = alike_pairs(staged(one.groupBy("v").agg(F.max("u").alias("u")).select("u", "v")), docs, now, text_col)
+    known = components(first).withColumnRenamed("node", "__n")
+    members = now.join(known, F.col("__n") == F.col("node"), "left").select("node", "h", "n", F.coalesce("root", "node").alias("comp"), "grp")
+    return first.unionByName(group_links(members, docs, text_col))
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, node (equal for equal sets of shingles) and component_id of every row."""
     prints = staged(near_fingerprints(docs, common_shingles(docs, text_col), id_col, text_col))
     rows = prints.select(id_col, "node")
-    rest = [F.first(c).alias(c) for c in ("fp", "s0", "s1", "s2", "s3", "n", "prefix")]  # equal for equal sets
+    rest = [F.first(c).alias(c) for c in ("fp", "s0", "s1", "s2", "s3", "n", "prefix", "bits")]  # equal for equal sets
     nodes = staged(prints.groupBy("node").agg(F.min(id_col).alias("low"), F.min("h").alias("h"), *rest))
     near = staged(near_links(nodes))
-    loose = components(near).withColumnRenamed("node", "__n")
-    now = staged(nodes.join(loose, F.col("__n") == F.col("node"), "left").select("node", "h", "n", "prefix", F.coalesce("root", "node").alias("grp")))
-    # of groups that no task holds one link a node is checked first: much of them is connected from then on
-    large = staged(now.groupBy("grp").agg(F.sum(F.col("n") + F.lit(ROW)).alias("held")).where(F.col("held") > HELD).select("grp"))
-    one = near.join(now.join(large, "grp", "left_semi").select(F.col("node").alias("v")), "v", "left_semi")
-    first = alike_pairs(staged(one.groupBy("v").agg(F.max("u").alias("u")).select("u", "v")), docs, nodes, text_col)
-    known = components(first).withColumnRenamed("node", "__n")
-    members = now.join(known, F.col("__n") == F.col("node"), "left").select("node", "h", "n", F.coalesce("root", "node").alias("comp"), "grp")
-    inner = group_links(members, docs, text_col)
-    more = alike_pairs(prefix_pairs(now.withColumnRenamed("grp", "comp")), docs, nodes, text_col)
-    return _labels(rows, nodes.select("node", "low"), first.unionByName(inner).unionByName(more), id_col)
+    now = grouped(nodes.select("node", "h", "n", "prefix", "bits"), near)
+    inner = alike_inside(now, near, docs, text_col)
+    met = prefix_pairs(now.withColumnRenamed("grp", "comp"))
+    more = alike_inside(grouped(nodes.select("node", "h", "n"), met), met, docs, text_col)
+    return _labels(rows, nodes.select("node", "low"), inner.unionByName(more), id_col)
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import xxhash
 
 from quarrymill.llm import simhash as S
@@ -207,3 +208,57 @@ def test_set_links_match_brute_force(monkeypatch):
                 if comp[a] == comp[b] or alike(sets[a], sets[b]):
                     wanted.add(np.array([b]), np.array([a]))
         assert [joined.find(i) for i in range(k)] == [wanted.find(i) for i in range(k)]
+
+
+def test_texts_that_meet_between_groups_make_no_rows_by_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(17)
+    passage = " ".join(f"p{x}" for x in rng.integers(0, 1 << 40, 25))
+    texts = loose_group(rng, 200, words=300, changes=4) + loose_group(rng, 60, changes=14)
+    texts += [" ".join(f"v{x}" for x in rng.integers(0, 1 << 40, 70)) + " " + passage for _ in range(150)]
+    made = []
+    pairs = S.prefix_pairs
+    # no group comes from fingerprints: all links are between groups
+    monkeypatch.setattr(S, "near_links", lambda nodes: spark.createDataFrame([], "u long, v long"))
+    monkeypatch.setattr(S, "prefix_pairs", lambda nodes: made.append(pairs(nodes)) or made[-1])
+    got, want = components_of(spark, texts)
+    assert got == want and 100 < len(set(want.values())) < len(texts) - 200
+    assert made[0].count() < 10 * len(texts)
+
+
+def test_rows_that_meet_keep_their_number():
+    rng = np.random.default_rng(18)
+    key = np.repeat([3, 5, 8, 9], [300, 300, 40, 1])
+    node = np.concatenate([np.arange(300), np.arange(300), rng.choice(300, 41)])
+    n = 20 + node * 2
+    rows = np.stack([key, node, node % 90, n, rng.integers(0, 4, len(key))], 1)
+    met = S._meeting(rows)
+    assert len(met) <= len(rows)
+    together = [set(x) for _, x in met.groupby("key")["node"]]
+    for k in (3, 5, 8):
+        at = rows[rows[:, 0] == k]
+        for a in at[::7]:
+            for b in at[a[3] <= at[:, 3]]:
+                most = min(a[4], b[4]) + min(a[3] - a[4], b[3] - b[4])
+                assert a[2] == b[2] or 9 * most < 4 * (a[3] + b[3]) or any({a[1], b[1]} <= t for t in together)
+
+
+def test_parity_bits_lose_no_pair(monkeypatch):
+    rng = np.random.default_rng(19)
+    monkeypatch.setattr(S, "BITS", (8, 11))
+    sets = []
+    for size in (1, 5, 60, 230, 256, 300, 520, 900, 1800, 2500, 5000):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for _ in range(8):
+            copy = base[rng.random(size) > rng.choice([0, 0.05, 0.12, 0.2])]
+            sets.append(np.unique(np.concatenate([copy, rng.integers(0, 1 << 63, int(size * rng.choice([0, 0.05, 0.12, 0.2])), dtype=np.uint64)])))
+    k = len(sets)
+    rows = pd.DataFrame({"key": 1, "node": np.arange(k) * 7, "comp": np.arange(k), "n": [len(x) for x in sets], "bits": [S.parity(x).tobytes() for x in sets]})
+    found = S.bit_links(pd.concat([rows, rows.assign(key=2)]).query("n > 0"))
+    assert len(found) < k
+    joined = S.Forest(k)
+    joined.add(found["u"].to_numpy() // 7, found["v"].to_numpy() // 7)
+    alike = [(a, b) for a in range(k) for b in range(a) if len(sets[a]) and 9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))]
+    assert len(alike) > 80 and all(joined.find(a) == joined.find(b) for a, b in alike)
+    bits = [S.parity(x) for x in sets]
+    for a, b in [(a, b) for a in range(k) for b in range(a) if len(bits[a]) == len(bits[b])]:
+        assert np.bitwise_count(bits[a] ^ bits[b]).sum() <= len(np.setxor1d(sets[a], sets[b]))
