@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,11 @@ THEMES = [
 SCOPE_FOR = ["european", "global"]
 
 
+def once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of ``x``, which is evaluated one time, however often ``f`` names it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
 def _names() -> dict[str, str]:
     return ALIASES | {c: c for c in COUNTRIES}
 
@@ -46,9 +53,11 @@ def _lookup() -> Column:
 
 def route_values(values: Column) -> Column:
     """struct(concrete, broad, countries) of place keywords, each once, countries by short name; others are left out."""
-    low = F.array_distinct(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.lower(F.trim(v))))
-    names = F.filter(F.transform(low, lambda v: F.try_element_at(_lookup(), v)), lambda v: v.isNotNull())
-    return F.struct(F.array_intersect(low, _array(CONCRETE)).alias("concrete"), F.array_intersect(low, _array(BROAD)).alias("broad"), F.array_sort(F.array_distinct(names)).alias("countries"))
+    def routed(low: Column) -> Column:
+        names = F.filter(F.transform(low, lambda v: F.try_element_at(_lookup(), v)), lambda v: v.isNotNull())
+        return F.struct(F.array_intersect(low, _array(CONCRETE)).alias("concrete"), F.array_intersect(low, _array(BROAD)).alias("broad"), F.array_sort(F.array_distinct(names)).alias("countries"))
+
+    return once(F.array_distinct(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.lower(F.trim(v)))), routed)
 
 
 def split_places(text: Column) -> Column:
@@ -59,7 +68,7 @@ def split_places(text: Column) -> Column:
 def scope_votes(values: Column) -> Column:
     """struct(for, against) of scope tags, each once in order."""
     low = F.array_distinct(F.transform(F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: v.isNotNull() & (F.trim(v) != "")), lambda v: F.lower(F.trim(v))))
-    return F.struct(F.array_intersect(low, _array(SCOPE_FOR)).alias("for"), F.array_except(low, _array(SCOPE_FOR)).alias("against"))
+    return once(low, lambda v: F.struct(F.array_intersect(v, _array(SCOPE_FOR)).alias("for"), F.array_except(v, _array(SCOPE_FOR)).alias("against")))
 
 
 def _pattern(terms: list[str], word: str) -> str:
@@ -67,11 +76,12 @@ def _pattern(terms: list[str], word: str) -> str:
     import re
 
     def one(t: str) -> str:
-        quoted = re.sub(r"([.()+*?\[\]\\-])", r"\\\1", t)
-        left = rf"(?<!{word})" if re.match(r"\w", t) else ""
-        return left + quoted + (rf"(?!{word})" if re.search(r"\w$", t) else "")
+        return re.sub(r"([.()+*?\[\]\\-])", r"\\\1", t) + (rf"(?!{word})" if re.search(r"\w$", t) else "")
 
-    return "|".join(one(t) for t in sorted(terms, key=lambda t: (-len(t), t)))
+    # what stands before a term is looked at once a place, not once a term
+    begin, other = ([t for t in terms if bool(re.match(r"\w", t)) == inside] for inside in (True, False))
+    listed = lambda own: "|".join(one(t) for t in sorted(own, key=lambda t: (-len(t), t)))
+    return "|".join(p for p in ((rf"(?<!{word})(?:{listed(begin)})" if begin else ""), listed(other)) if p)
 
 
 def scan(text: Column) -> Column:
@@ -79,8 +89,11 @@ def scan(text: Column) -> Column:
 
     Countries are found by Unicode word, other terms where no letter a-z stands beside them.
     """
-    low = F.lower(mask_thematic(F.coalesce(text, F.lit("")), THEMES))
-    found = lambda terms, word: F.array_sort(F.array_distinct(F.regexp_extract_all(low, F.lit(f"({_pattern(terms, word)})"), F.lit(1))))
-    names = F.array_sort(F.array_distinct(F.transform(found(list(_names()), r"[\p{L}\p{N}_]"), lambda v: F.element_at(_lookup(), v))))
-    out = F.struct(found(CONCRETE, "[a-z]").alias("concrete"), found(BROAD, "[a-z]").alias("broad"), names.alias("countries"))
-    return F.when((F.size(out["concrete"]) > 0) | (F.size(out["broad"]) > 0) | (F.size(out["countries"]) > 0), out)
+
+    def found(low: Column) -> Column:
+        every = lambda terms, word: F.array_sort(F.array_distinct(F.regexp_extract_all(low, F.lit(f"({_pattern(terms, word)})"), F.lit(1))))
+        names = F.array_sort(F.array_distinct(F.transform(every(list(_names()), r"[\p{L}\p{N}_]"), lambda v: F.element_at(_lookup(), v))))
+        return F.struct(every(CONCRETE, "[a-z]").alias("concrete"), every(BROAD, "[a-z]").alias("broad"), names.alias("countries"))
+
+    out = once(F.lower(mask_thematic(F.coalesce(text, F.lit("")), THEMES)), found)
+    return once(out, lambda v: F.when((F.size(v["concrete"]) > 0) | (F.size(v["broad"]) > 0) | (F.size(v["countries"]) > 0), v))

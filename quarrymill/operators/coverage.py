@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.places import route_values, scan, scope_votes, split_places
+from ..functions.places import once, route_values, scan, scope_votes, split_places
 from . import documents
 from .spatial import agreement, bbox_vote, verdict
 
@@ -21,10 +21,10 @@ def _group_values(doc: Column, band: str) -> Column:
 
 def evidence(doc: Column, title: Column, abstract: Column) -> Column:
     """struct(scope_tag, place_keyword, title, abstract) of parsed metadata and two texts; a text without any term is NULL."""
-    return F.struct(
-        scope_votes(_group_values(doc, "scope_tag")).alias("scope_tag"), route_values(_group_values(doc, "place_keyword")).alias("place_keyword"),
-        scan(title).alias("title"), scan(abstract).alias("abstract"),
-    )
+    groups = once(doc, lambda d: F.struct(_group_values(d, "scope_tag").alias("scope_tag"), _group_values(d, "place_keyword").alias("place_keyword")))
+    routed = once(groups, lambda g: F.struct(scope_votes(g["scope_tag"]).alias("scope_tag"), route_values(g["place_keyword"]).alias("place_keyword")))
+    texts = F.struct(scan(title).alias("title"), scan(abstract).alias("abstract"))
+    return once(F.struct(routed.alias("r"), texts.alias("t")), lambda b: F.struct(b["r"]["scope_tag"].alias("scope_tag"), b["r"]["place_keyword"].alias("place_keyword"), b["t"]["title"].alias("title"), b["t"]["abstract"].alias("abstract")))
 
 
 def _found(tier: int, vote: str, tokens: Column | None = None) -> Column:
@@ -60,7 +60,7 @@ def pooled(*bands: Column) -> Column:
     """The band of the highest tier, the first of equals."""
     out = bands[0]
     for b in bands[1:]:
-        out = F.when(b["tier"] > out["tier"], b).otherwise(out)
+        out = once(F.struct(out.alias("a"), b.alias("b")), lambda x: F.when(x["b"]["tier"] > x["a"]["tier"], x["b"]).otherwise(x["a"]))
     return out
 
 
@@ -70,9 +70,9 @@ def multi_country(rows: DataFrame, keep: list[str], terms: str = "terms", places
     ``terms`` is an ``evidence`` struct, ``places`` a comma-separated description, ``classification``
     the label of the box; any of them may be NULL. Evidence is that of the four bands alone.
     """
-    t = F.col(terms)
-    staged = rows.withColumn("__b", pooled(scope_band(t["scope_tag"]), reliable_band(t["place_keyword"]), reliable_band(t["title"]), abstract_band(t["abstract"])))
-    staged = staged.withColumn("__s", reliable_band(split_places(F.col(places)))).withColumn("__v", bbox_vote(F.col(classification)))
+    bands = lambda t: pooled(scope_band(t["scope_tag"]), reliable_band(t["place_keyword"]), reliable_band(t["title"]), abstract_band(t["abstract"]))
+    staged = rows.withColumn("__b", once(F.col(terms), bands))
+    staged = staged.withColumn("__s", once(split_places(F.col(places)), reliable_band)).withColumn("__v", bbox_vote(F.col(classification)))
     tier = F.greatest(F.col("__b.tier"), F.col("__s.tier"))
     return staged.select(
         *keep, verdict(tier, F.col("__v")).alias("is_multi_country_eu"), F.col("__v").alias("bbox_vote"), F.col("__s.vote").alias("spatial_desc_vote"), F.col("__b.vote").alias("terms_vote"),

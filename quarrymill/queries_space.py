@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import geo as G
 from .operators import spatial as S
-from .registry import query, table
+from .registry import query, spread, table
 
 BOXES = """
 boxes AS (SELECT c_custkey AS id, CAST((c_custkey * 37) % 340 - 170 AS DOUBLE) AS w, CAST((c_custkey * 23) % 160 - 80 AS DOUBLE) AS s,
@@ -195,7 +195,7 @@ def multi_country_coverage(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")  # 25 rows
     first, second = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("n1")), nation.select(F.col("n_nationkey").alias("other"), F.col("n_name").alias("n2"))
     rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey", "c_mktsegment", (F.col("c_custkey") % 25).cast("int").alias("other"))
-    rows = rows.join(F.broadcast(first), "c_nationkey").join(F.broadcast(second), "other")
+    rows = spread(rows, "id").join(F.broadcast(first), "c_nationkey").join(F.broadcast(second), "other")
     k = F.col("id") % 6
     extra = F.when(k == 0, "EEA39").when(k == 1, " Europe ").when(k == 2, "National").when(k == 3, "European").otherwise("Atlantis")
     vocabulary = F.create_map(*[F.lit(x) for x in ("AUTOMOBILE", "Spatial scope", "BUILDING", " Country", "FURNITURE", "Region", "MACHINERY", "GEMET", "HOUSEHOLD", "none")])
