@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarrymill.llm import language_id as L
@@ -291,3 +292,36 @@ def test_training_follows_the_gradient():
     model = Q.train(samples, dim=dim, epochs=3, rate=0.5, seed=seed)
     want = embed @ (weight[1] - weight[0])
     assert np.allclose(model.logit, want, atol=1e-3) and abs(model.bias - (bias[1] - bias[0])) < 1e-4
+
+
+def test_mixing_counts_have_no_bound(spark):
+    # two tasks' counts of the same slots, over 2^32 together and alone
+    big = np.zeros((1, 64), np.uint64)
+    big[0, :3] = 3_000_000_000, 5_000_000_000, 7
+    block = [np.split(big[0], M._BLOCKS)[b] for b in range(M._BLOCKS)]
+    parts = [(b, g, bytearray(M._packed(x))) for b, x in enumerate(block) for g in (0, 1)]
+    got = M._summed(spark.createDataFrame(parts, "part int, g int, n binary"), (1, 64))
+    assert got[0, :4].tolist() == [6e9, 1e10, 14, 0]
+    assert len(M._packed(block[1])) == 4 * 8 and len(M._packed(block[0])) == 8 * 8
+
+
+def test_spelling_weighs_words_by_the_root_of_their_counts(spark):
+    counts = np.zeros((len(M.ORDERS), 2 * M.SLOTS), np.float32)
+    words = spark.createDataFrame([(bytearray(b"ab"), 10_000)], "word binary, n long")
+    assert M.mixed_spelling(words, counts).hits.sum() == pytest.approx(100 * 3 * 8)  # 8 bits of each of 3 symbols
+
+
+def test_every_training_unit_is_counted(spark):
+    texts = ["a b a\n\nc zz", "", "a b q", "a a a b b"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = M.word_counts(df).cache()
+    total, units = sum(r["n"] for r in words.collect()), sum(len(t.split()) + 1 for t in texts)
+    top = words.where("word <> X'' AND n > 1").orderBy(F.desc("n"), "word").toPandas()
+    book = M.Book([bytes(w) for w in top["word"]], top["n"].tolist(), total, len(texts))
+    assert total == units
+    counts = M.unit_counts(df, book)
+    data = np.frombuffer(b"".join(M.lower(t) + b"\n" for t in texts), np.uint8)
+    begin = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
+    u = M.Units(book, data, begin)
+    bits = book.sizes[u.rank].sum()
+    assert len(u) == units and counts[0].sum() == bits  # the first predictor takes every bit of every word
