@@ -105,6 +105,18 @@ def cut(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first[:-1], number) + inside * size, start
 
 
+def frequencies(w: Words, own: np.ndarray) -> np.ndarray:
+    """In how many of the texts marked ``own`` each slot occurs."""
+    doc = np.repeat(np.arange(len(own)), np.diff(w.first))
+    kept = own[doc]
+    slot, doc = w.slot[kept].astype(np.uint16), doc[kept]
+    order = np.argsort(slot, kind="stable")  # of 16 bits: by counting; a slot's texts stay in order
+    slot, doc = slot[order], doc[order]
+    fresh = np.ones(len(slot), bool)
+    fresh[1:] = (slot[1:] != slot[:-1]) | (doc[1:] != doc[:-1])
+    return np.bincount(slot[fresh], minlength=SPACE)
+
+
 def parsed(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(n, df, slot, size) from the texts of both: per task the documents and their frequencies by slot, or the slots of words and the words of each passage."""
     rows = docs.select(F.col("text"), F.lit(True).alias("doc")).unionByName(items.select(F.col("text"), F.lit(False).alias("doc")))
@@ -116,9 +128,7 @@ def parsed(docs: DataFrame, items: DataFrame) -> DataFrame:
             texts, own = pdf["text"].tolist(), pdf["doc"].to_numpy(bool)
             for i, j in slices(np.array([len(t) if isinstance(t, str) else 0 for t in texts], np.int64), CHARS):
                 w = Words(texts[i:j])
-                doc = np.repeat(np.arange(j - i, dtype=np.int64), np.diff(w.first))
-                seen = np.unique((doc * SPACE + w.slot)[own[i:j][doc]])
-                total += np.bincount(seen % SPACE, minlength=SPACE)
+                total += frequencies(w, own[i:j])
                 n += int(own[i:j].sum())
                 at, _ = cut(w.first, PASSAGE)
                 yield pd.DataFrame({"n": [0], "df": [None], "slot": [w.slot.astype(np.uint16).tobytes()], "size": [np.diff(np.append(at, len(w.slot))).astype(np.uint8).tobytes()]})
@@ -144,17 +154,24 @@ def _add_counts(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def row_sums(y: np.ndarray, own: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct of ``own`` (sorted) and for each the sum of its rows of ``y``: eight at a time, then sums of these."""
+    """The distinct of ``own`` (sorted) and for each the sum of its rows of ``y``: eight at a time, then sums of these until one is left."""
+    begin = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))[: len(own)])
+    size = np.diff(np.append(begin, len(own)))
+    own, open_ = own[begin], np.arange(len(begin))
+    out = np.empty((len(begin), y.shape[1]), y.dtype)
     while True:
-        begin = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-        if len(begin) == len(own):
-            return own, y[row]
-        rank = np.arange(len(own)) - np.repeat(begin, np.diff(np.append(begin, len(own))))
-        fresh = rank & 7 == 0
-        index = np.full((8, int(fresh.sum())), len(y))
-        index[rank & 7, np.cumsum(fresh) - 1] = row
+        one = size == 1
+        begin = np.cumsum(size) - size
+        out[open_[one]] = y[row[begin[one]]]
+        if one.all():
+            return own, out
+        row, size, open_ = row[np.repeat(~one, size)], size[~one], open_[~one]
+        rank = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        index = np.full((8, int((-(-size // 8)).sum())), len(y))
+        index[rank & 7, np.cumsum(rank & 7 == 0) - 1] = row
         y = _taken(np.concatenate([y, np.zeros((1, y.shape[1]), y.dtype)]), index)
-        own, row = own[fresh], np.arange(len(y))
+        size = -(-size // 8)
+        row = np.arange(len(y))
 
 
 def _taken(table: np.ndarray, index: np.ndarray) -> np.ndarray:
@@ -163,9 +180,9 @@ def _taken(table: np.ndarray, index: np.ndarray) -> np.ndarray:
     for i in range(0, len(out), 256):
         x = out[i : i + 256]
         held = np.empty_like(x)
-        np.take(table, index[0, i : i + 256], axis=0, out=x, mode="clip")
+        table.take(index[0, i : i + 256], axis=0, out=x, mode="clip")
         for k in range(1, len(index)):
-            np.take(table, index[k, i : i + 256], axis=0, out=held, mode="clip")
+            table.take(index[k, i : i + 256], axis=0, out=held, mode="clip")
             x += held
     return out
 

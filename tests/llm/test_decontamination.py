@@ -138,3 +138,29 @@ def test_runs_left_out_hold_no_item():
     for t, q, _, n, _ in got:
         words = items[q].split()
         assert 0.65 * len(words) <= n <= lcs(words, texts[t].split())
+
+
+def test_row_sums_leave_rows_alone_that_are_done(monkeypatch):
+    rng = np.random.default_rng(2)
+    y = rng.integers(-9, 9, (500, 4)).astype(np.float32)
+    own = np.sort(np.concatenate([np.arange(1000), np.full(4000, 17), np.full(9, 800)]))
+    row = rng.integers(0, 500, len(own))
+    taken, plain = [], D._taken
+    monkeypatch.setattr(D, "_taken", lambda table, index: taken.append(index.size) or plain(table, index))
+    slots, sums = D.row_sums(y, own, row)
+    want = np.zeros((1000, 4))
+    np.add.at(want, own, y[row])
+    assert (slots == np.arange(1000)).all() and (sums == want).all()
+    assert sum(taken) < 5000, taken  # single rows were summed with seven empty ones in every round
+    assert len(D.row_sums(y, own[:0], row[:0])[0]) == 0
+
+
+def test_frequencies_count_texts():
+    texts = ["a b a", "", "b c", None, "b b b c", "a"]
+    w = D.Words(texts)
+    own = np.array([True, True, True, True, False, True])
+    slot = {t: int(D.Words([t]).slot[0]) for t in "abc"}
+    want = np.zeros(D.SPACE, int)
+    for t, n in (("a", 2), ("b", 2), ("c", 1)):
+        want[slot[t]] += n
+    assert (D.frequencies(w, own) == want).all()
