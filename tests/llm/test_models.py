@@ -325,3 +325,36 @@ def test_every_training_unit_is_counted(spark):
     u = M.Units(book, data, begin)
     bits = book.sizes[u.rank].sum()
     assert len(u) == units and counts[0].sum() == bits  # the first predictor takes every bit of every word
+
+
+def test_work_that_is_alike_is_done_once(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = [bytes(rng.choice(list(b"abcd"), n)) for n in rng.integers(1, 12, 400)]
+    size = np.array([len(w) for w in words])
+    ends = np.cumsum(size)
+    data = np.frombuffer(b"".join(words) + b" ", np.uint8)
+    spelling = M.Spelling(rng.integers(0, 50, (len(M.ORDERS), 2 * M.SLOTS)).astype(np.float32), M.Mixer(len(M.ORDERS), 1, 256))
+    symbols, place, first = M.spell(data, ends - size, ends)
+    want = np.zeros(len(symbols), np.float32)
+    for node, bit, slots in M.steps(symbols, place):
+        z = spelling.tables[0][slots[0]]
+        for t, s in zip(spelling.tables[1:], slots[1:], strict=True):
+            z = z + t[s]
+        want += spelling.prices[2 * node + bit, M.fine(z)]
+    priced = []
+    one = M.Spelling._new_cost
+    monkeypatch.setattr(M.Spelling, "_new_cost", lambda self, a, b, every: (priced.append(len(every)), one(self, a, b, every))[1])
+    for _ in range(2):
+        assert np.array_equal(spelling.cost(data, ends - size, ends), np.add.reduceat(want.astype(float), first))
+    known = {(w[max(i - 6, 0) : i], min(i, 6), w[i : i + 1]) for w in words for i in range(len(w) + 1)}
+    assert sum(priced) == len(known) < len(symbols)
+
+
+def test_a_predictor_alone_learns_as_in_company():
+    rng = np.random.default_rng(6)
+    x, bit = rng.integers(0, M.CONFIDENCE * 256, 5000).astype(np.uint16), rng.integers(0, 2, 5000)
+    a, b = M.Mixer(2, 4, 32), M.Mixer(2, 4, 32)
+    for _ in range(3):
+        a.learn([x], [0], 3, 12, bit, None, 0.002)
+        b.learn([x], [0], 3, 12, bit, np.ones(len(x)), 0.002)  # row by row
+    assert np.allclose(a.weights, b.weights, rtol=0, atol=1e-12) and np.array_equal(a.hits, b.hits) and a.bits == b.bits
