@@ -7,11 +7,14 @@ stages 1 to 3 drop rows, stage 4 rewrites texts, and stage 5 returns the packed
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.llm import decontamination, packing, quality_classifier, secret_scan, simhash
-from quarrymill.llm._common import staged
+from quarrymill.llm._common import staged, tidied
 from quarrymill.llm.tokens import vocabulary
 
 
@@ -47,7 +50,20 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs.select("doc_id", "text"), vocabulary("byte_bpe_50k.json"), capacity=2048)
 
 
-STAGES = [("quality_classifier", quality), ("simhash_near_dedup", near_duplicates), ("benchmark_decontamination", leaks), ("secret_scans", secrets), ("best_fit_packing", pack)]
+def after_others(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that starts with the memory that it needs itself, not with what the stage before it held."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(spark, tidied(docs), sf_dir)
+
+    return run
+
+
+STAGES = [
+    (name, after_others(stage))
+    for name, stage in (("quality_classifier", quality), ("simhash_near_dedup", near_duplicates), ("benchmark_decontamination", leaks), ("secret_scans", secrets), ("best_fit_packing", pack))
+]
 
 #: Trained models and tokenizers are beyond SQL; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -1,5 +1,7 @@
 """Shared helpers: bounded picks, word hashes and slices."""
 
+import gc
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -68,3 +70,13 @@ def test_a_worker_keeps_tables_of_one_module_alone():
     assert C._POWERS
     C.kept_by("b")
     assert not C._POWERS
+
+
+def test_executors_give_back_heap(spark):
+    held = spark._jvm.java.lang.Object()
+    weak = spark._jvm.java.lang.ref.WeakReference(held)
+    df = spark.range(3)
+    del held
+    gc.collect()
+    assert C.tidied(df) is df  # here the executor is the driver
+    assert weak.get() is None

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline as C
 from quarrymill.llm import packing
 
@@ -52,3 +54,13 @@ def test_stages(spark, tmp_path):
 def test_empty_corpus(spark, tmp_path):
     corpus(spark, str(tmp_path), empty=True)
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_each_stage_starts_with_little_memory(monkeypatch):
+    def stop(df):
+        raise InterruptedError
+
+    monkeypatch.setattr(C, "tidied", stop)
+    for _, stage in C.STAGES:
+        with pytest.raises(InterruptedError):
+            stage(None, None, "")
