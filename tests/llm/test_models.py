@@ -358,3 +358,55 @@ def test_a_predictor_alone_learns_as_in_company():
         a.learn([x], [0], 3, 12, bit, None, 0.002)
         b.learn([x], [0], 3, 12, bit, np.ones(len(x)), 0.002)  # row by row
     assert np.allclose(a.weights, b.weights, rtol=0, atol=1e-12) and np.array_equal(a.hits, b.hits) and a.bits == b.bits
+
+
+def test_alike_symbols_are_counted_and_learned_from_once():
+    words = [b"abc", b"abd", b"abc", b"xabcdefgh", b"yabcdefgh", b"", b"abc"]
+    size = np.array([len(w) for w in words])
+    ends = np.cumsum(size)
+    symbols, place, _ = M.spell(np.frombuffer(b"".join(words) + b" ", np.uint8), ends - size, ends)
+    weight = np.repeat(np.arange(1.0, 8), size + 1)
+    alike, ctx, n = M.alike(symbols, place, weight)
+    seen = [(w[max(i - 6, 0) : i], min(i, 6), (w + b" ")[i : i + 1] if w else b"\0") for w in words for i in range(len(w) + 1)]
+    assert len(alike) == len(n) == len(set(seen)) < len(symbols) and n.sum() == weight.sum()
+    one, all_ = np.zeros((len(M.ORDERS), 2 * M.SLOTS)), np.zeros((len(M.ORDERS), 2 * M.SLOTS))
+    for total, steps, w in ((one, M.bit_steps(alike, ctx), n), (all_, M.steps(symbols, place), weight)):
+        for _, bit, slots in steps:
+            for k, s in enumerate(slots):
+                np.add.at(total[k], 2 * s + bit, w)
+    assert np.array_equal(one, all_)
+
+
+def test_shared_bits_need_no_path_of_codes():
+    rng = np.random.default_rng(7)
+    words = sorted({bytes(rng.choice(list(b"abcdefgh"), 4)) for _ in range(900)})
+    counts = sorted((int(x) for x in 3000 / np.arange(1, len(words) + 1) + 2), reverse=True)
+    book = M.Book(words, counts, sum(counts) + 5000, 100)
+    data = np.frombuffer(b" ".join(rng.permutation(np.array([*words, b"never", b"seen!"], object))) + b"\n", np.uint8)
+    u = M.Units(book, data, np.zeros(1, np.int64))
+    shared = list(u.steps(book, shared=True))
+    assert "path" not in book.__dict__
+    first, place, bits, _, slot = book.path
+    got = 0
+    for at, phase, j, bit, which, slots in shared:
+        if phase:
+            here = first[u.rank[at]] + j - 4
+            assert (place[here] == j - 4).all() and (bits[here] == bit).all() and (book.roots[slots[0]] == slot[here]).all() and which[0] == 0
+            got += len(at)
+    assert got == np.minimum(book.sizes[u.rank], M.SHARED).sum()
+    assert sum(len(x[0]) for x in u.steps(book) if x[1]) == book.sizes[u.rank].sum()
+
+
+def test_distinct_keys_and_spans():
+    own, key, first = M._distinct(np.array([5, 3, 5, 9, 3], np.uint64))
+    assert own.tolist() == [0, 1, 0, 2, 1] and key.tolist() == [5, 3, 9] and first.tolist() == [0, 1, 3]
+    for raw in (b"", b"\n", b"a\n", b"  a b\x08\x0e\x1f\t\xff\n", bytes(range(256)) + b" "):
+        starts, ends = M.word_spans(np.frombuffer(raw, np.uint8))
+        want = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        assert list(zip(starts.tolist(), ends.tolist(), strict=True)) == want
+
+
+def test_words_of_several_slices_are_counted(spark):
+    texts = ["x " * 700_000, None, "y x\u00e9 " * 200_000 + "Z", "", "z y"]  # over 1,000,000 bytes: more slices than one
+    got = {bytes(r["word"]).decode(): r["n"] for r in M.word_counts(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)).collect()}
+    assert got == dict(Counter(w for t in texts for w in tokens(t or "")))
